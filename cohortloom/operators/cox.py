@@ -17,6 +17,7 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -126,16 +127,15 @@ def _derivatives(
     eta: Column = sum((F.lit(float(b)) * F.col(f"x{i}") for i, b in enumerate(beta)), F.lit(0.0))
     weighted = design.withColumn("w", F.exp(eta))
     risk = ["r", *[f"r{i}" for i in range(p)]]
-    per_time = materialize(
-        weighted.groupBy("t", "back").agg(
-            F.sum("w").alias("r"),
-            *[F.sum(F.col("w") * F.col(f"x{i}")).alias(f"r{i}") for i in range(p)],
-            F.sum("e").alias("d"),
-            F.sum(F.col("e") * F.col("w")).alias("q"),
-            *[F.sum(F.col("e") * F.col("w") * F.col(f"x{i}")).alias(f"q{i}") for i in range(p)],
-        ),
-        "pertime",
+    per_time = weighted.groupBy("t", "back").agg(
+        F.sum("w").alias("r"),
+        *[F.sum(F.col("w") * F.col(f"x{i}")).alias(f"r{i}") for i in range(p)],
+        F.sum("e").alias("d"),
+        F.sum(F.col("e") * F.col("w")).alias("q"),
+        *[F.sum(F.col("e") * F.col("w") * F.col(f"x{i}")).alias(f"q{i}") for i in range(p)],
     )
+    if ranges[0].cuts is not None:
+        per_time = materialize(per_time, "pertime")
     at_risk = running_sums(per_time, ["back"], risk, ranges=ranges[0])
     shared = at_risk.withColumn("s", _efron_shares(F.col("cum_r"), F.col("q"), F.col("d"))).select("*", "s.*").drop("s")
     if ranges[1].cuts is not None:
@@ -165,7 +165,6 @@ def _derivatives(
 def _efron_shares(at_risk: Column, dying: Column, deaths: Column) -> Column:
     """Sums over the d steps of a tied time, with ``f = l / d`` and
     ``z = at_risk - f * dying``: log z, 1/z, f/z, 1/z^2, f/z^2, f^2/z^2."""
-    import pandas as pd
 
     def shares(at_risk: pd.Series, dying: pd.Series, deaths: pd.Series) -> pd.DataFrame:
         import numpy as np

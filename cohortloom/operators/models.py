@@ -20,6 +20,14 @@ FOREST_TREES = 300
 FOREST_MIN_LEAF = 10
 SEED = 42
 TIME_BINS = 20
+ROWS_PER_PARTITION = 20_000
+
+
+def _training_rows(df: DataFrame, label: str) -> DataFrame:
+    """Written training rows in no more partitions than they can fill: every tree
+    level is one pass over them."""
+    rows = materialize(df, label)
+    return rows.coalesce(max(1, rows.count() // ROWS_PER_PARTITION))
 
 
 def _assembled(df: DataFrame, features: Sequence[str], output: str = "__features") -> DataFrame:
@@ -33,14 +41,14 @@ def train_boosted_classifier(
     """Gradient-boosted trees with logistic loss; missing features count as 0."""
     ensure_checkpoint_dir(train.sparkSession)
     chosen = {**BOOSTING, **(params or {})}
-    data = materialize(
+    data = _training_rows(
         _assembled(train, feature_cols).select("__features", F.col(target_col).cast("double").alias("__label")),
         "train",
     )
     trees = GBTClassifier(
         featuresCol="__features", labelCol="__label", seed=SEED,
         maxDepth=chosen["max_depth"], stepSize=chosen["eta"], maxIter=chosen["n_estimators"],
-        cacheNodeIds=True, checkpointInterval=10,
+        checkpointInterval=10,
     )
     return trees.fit(data)
 
@@ -139,7 +147,7 @@ def train_survival_forest(
     edges = time_bin_edges(train, duration_col, event_col, bins)
     vectors = _assembled(train.dropna(subset=[duration_col, event_col]), covariate_cols, "__x")
     periods = person_periods(vectors, duration_col, event_col, edges, ["__x"])
-    data = materialize(_with_bin(periods).select("__features", "__label"), "periods")
+    data = _training_rows(_with_bin(periods).select("__features", "__label"), "periods")
     forest = RandomForestClassifier(
         featuresCol="__features", labelCol="__label", seed=SEED,
         numTrees=n_estimators, minInstancesPerNode=FOREST_MIN_LEAF, cacheNodeIds=True, checkpointInterval=10,

@@ -33,7 +33,7 @@ def quantile_table(
     method: str = "approx",
     accuracy: int = SKETCH_ACCURACY,
 ) -> DataFrame:
-    """One written row per group with an array of quantiles per column.
+    """One row per group, read from a written table, with an array of quantiles per column.
 
     A quantile is an element of the data: the smallest value whose rank is at
     least ``p * n``. Nulls are ignored; a group without values gives nulls.
@@ -69,12 +69,9 @@ def _exact_table(
         margin = min(1.0, margin * 16)  # a slice missed its rank: widen it and look again
 
     table = picked.groupBy(*keys).pivot("__col", list(range(len(columns)))).agg(F.first("__q"))
-    return materialize(
-        table.select(
-            *[F.col(k).alias(c) for c, k in zip(group_cols, keys)],
-            *[F.col(str(i)).alias(quantile_name(c)) for i, c in enumerate(columns)],
-        ),
-        "quantiles",
+    return table.select(
+        *[F.col(k).alias(c) for c, k in zip(group_cols, keys)],
+        *[F.col(str(i)).alias(quantile_name(c)) for i, c in enumerate(columns)],
     )
 
 

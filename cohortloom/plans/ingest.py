@@ -68,21 +68,23 @@ def _first_files(files: DataFrame, limit: int | None) -> tuple[DataFrame, list[s
     return listing, sorted({row["file_id"] for row in listing.select("file_id").collect()})  # at most ``limit`` ids
 
 
-def _paths(folder: str, file_ids: Sequence[str] | None, suffix: str) -> str | list[str]:
-    return folder if file_ids is None else [f"{folder.rstrip('/')}/{file_id}{suffix}" for file_id in file_ids]
+def _paths(folder: str, file_ids: Sequence[str] | None, naming: str) -> str | list[str]:
+    base = folder.rstrip("/")
+    return base if file_ids is None else [f"{base}/{naming.format(file_id=file_id)}" for file_id in file_ids]
 
 
 def ingest_rna_seq(
     spark: SparkSession, root: str, files: DataFrame, folder: str,
     limit: int | None = defaults.EXPRESSION_FILE_LIMIT, minimum: int = defaults.MIN_EXPRESSION_FILES,
-    ingestion_date: str | None = None, schema: str = delimited.COUNT_SCHEMA, suffix: str = ".tsv",
+    ingestion_date: str | None = None, schema: str = delimited.COUNT_SCHEMA,
+    naming: str = "{file_id}.tsv", file_id: str = delimited.FILE_STEM,
 ) -> str:
-    """Count files ``<folder>/<file_id>.tsv``; ``limit=None`` reads the whole folder.
+    """Count files named after their id in a folder; ``limit=None`` reads the whole folder.
 
     Only the files of the cut listing are opened.
     """
     listing, ids = _first_files(files, limit)
-    counts = delimited.scan_count_tsv(spark, _paths(folder, ids, suffix), schema)
+    counts = delimited.scan_count_tsv(spark, _paths(folder, ids, naming), schema, file_id)
     tagged = delimited.tag_file_lineage(counts, listing, ["case_id", "submitter_id"])
     guard_min_groups(tagged, "file_id", minimum, "the expression read")
     return write_bronze_slice(tagged, layer_path(root, "bronze", "gdc_rna_seq_counts"), ingestion_date)
@@ -90,11 +92,12 @@ def ingest_rna_seq(
 
 def ingest_methylation(
     spark: SparkSession, root: str, files: DataFrame, folder: str,
-    limit: int | None = defaults.METHYLATION_FILE_LIMIT, ingestion_date: str | None = None, suffix: str = ".txt",
+    limit: int | None = defaults.METHYLATION_FILE_LIMIT, ingestion_date: str | None = None,
+    naming: str = "{file_id}.txt", file_id: str = delimited.FILE_STEM,
 ) -> str:
     contracts.validate(files, contracts.FILE_METADATA)
     listing, ids = _first_files(files, limit)
-    betas = delimited.scan_beta_tsv(spark, _paths(folder, ids, suffix))
+    betas = delimited.scan_beta_tsv(spark, _paths(folder, ids, naming), file_id=file_id)
     tagged = delimited.tag_file_lineage(betas, listing, ["case_id", "submitter_id", "file_name"])
     return write_bronze_slice(tagged, layer_path(root, "bronze", "gdc_methylation_beta_values"), ingestion_date)
 

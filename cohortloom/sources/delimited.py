@@ -36,6 +36,7 @@ def scan_count_tsv(
     rows = spark.read.csv(
         path if isinstance(path, str) else list(path),
         schema=schema, sep="\t", comment="#", header=True, enforceSchema=False, mode="FAILFAST",
+        recursiveFileLookup=True,
     )
     return rows.select("*", file_id_of(file_id).alias("file_id"))
 
@@ -45,7 +46,9 @@ def scan_beta_tsv(
 ) -> DataFrame:
     """Headerless two-column files of probe and beta value; ``NA`` is a missing value."""
     rows = spark.read.csv(
-        path if isinstance(path, str) else list(path), schema=schema, sep="\t", comment="#", nullValue="NA"
+        path if isinstance(path, str) else list(path),
+        schema=schema, sep="\t", comment="#", nullValue="NA",
+        recursiveFileLookup=True,
     )
     return rows.select("*", file_id_of(file_id).alias("file_id"))
 
