@@ -5,7 +5,8 @@ The order is cut into ranges of the composite key ``(group, order columns)``.
 The cut points are sampled once and written down, so every later use of them
 assigns the same bucket to the same row. A window then works inside one
 ``(bucket, group)``, and a table with one row per ``(bucket, group)`` carries the
-state from one bucket to the next.
+state from one bucket to the next. The input is read several times (count, sample,
+carry, result): write it first when it is costly to compute.
 """
 
 from __future__ import annotations
@@ -28,23 +29,25 @@ class Ranges:
     """Cut points of an order; ``cuts`` is None when one bucket is enough."""
 
     keys: tuple[str, ...]
-    buckets: int
+    size: int
     cuts: DataFrame | None
 
     def assign(self, df: DataFrame) -> DataFrame:
-        """Add the bucket number: how many cut points are at or below the key."""
+        """Add the bucket number: how many cut points are at or below the key.
+
+        The cut points enter as a scalar subquery, and the binary search over them
+        is a chain of plain projections that Spark compiles.
+        """
         if self.cuts is None:
             return df.withColumn(BUCKET, F.lit(0))
-        steps = max(1, self.buckets.bit_length())
-        placed = df.withColumn("__cuts", self.cuts.scalar()).withColumn("__key", _key(self.keys))
-
-        def step(pos: Column, shift: Column) -> Column:
-            jump = pos + F.call_function("shiftleft", F.lit(1), shift)
-            fits = (jump <= F.size("__cuts")) & (F.get("__cuts", jump - 1) <= F.col("__key"))
-            return F.when(fits, jump).otherwise(pos)
-
-        halvings = F.array(*[F.lit(s) for s in range(steps - 1, -1, -1)])
-        return placed.withColumn(BUCKET, F.aggregate(halvings, F.lit(0), step)).drop("__cuts", "__key")
+        cuts, key = self.cuts.scalar(), F.col("__key")
+        placed = df.withColumn("__key", _key(self.keys)).withColumn(BUCKET, F.lit(0))
+        for halving in range(self.size.bit_length() - 1, -1, -1):
+            here = F.col(BUCKET)
+            ahead = here + F.lit(1 << halving)
+            fits = (ahead <= F.lit(self.size)) & (F.get(cuts, ahead - 1) <= key)
+            placed = placed.withColumn(BUCKET, F.when(fits, ahead).otherwise(here))
+        return placed.drop("__key")
 
 
 def _key(keys: Sequence[str]) -> Column:
@@ -59,10 +62,10 @@ def cut_ranges(df: DataFrame, keys: Sequence[str], rows_per_bucket: int | None =
     rows = df.count()
     buckets = min(MAX_BUCKETS, -(-rows // (rows_per_bucket or ROWS_PER_BUCKET)))
     if buckets <= 1:
-        return Ranges(tuple(keys), 1, None)
+        return Ranges(tuple(keys), 0, None)
     picked = df.select(_key(keys).alias("k")).sample(fraction=min(1.0, buckets / rows), seed=17)
     cuts = materialize(picked.agg(F.array_sort(F.collect_set("k")).alias("cuts")), "cuts")
-    return Ranges(tuple(keys), 2 * buckets + 64, cuts)
+    return Ranges(tuple(keys), cuts.select(F.size("cuts")).first()[0], cuts)
 
 
 def running_sums(

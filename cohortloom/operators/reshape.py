@@ -45,22 +45,24 @@ def long_to_vector(
     The long table is first reduced to one value per (id, attribute), so a group
     never collects more entries than there are attributes.
     """
-    position = F.create_map(*[F.lit(x) for i, name in enumerate(attributes) for x in (name, i)])
+    n = len(attributes)
+    places = df.sparkSession.createDataFrame(list(zip(attributes, range(n))), f"`{attribute_col}` string, __i int")
     value = F.col(value_col).cast("double")
     if order_by:
         one: Column = F.min_by(value, F.when(value.isNotNull(), F.struct(*order_by)))
     else:
         one = F.first(value, ignorenulls=True)
     cells = (
-        df.filter(F.col(attribute_col).isin(list(attributes)))
-        .groupBy(id_col, attribute_col)
-        .agg(one.alias("v"))
-        .select(id_col, position[F.col(attribute_col)].alias("i"), F.coalesce("v", F.lit(missing)).alias("v"))
-    )
-    packed = cells.groupBy(id_col).agg(F.map_from_entries(F.collect_list(F.struct("i", "v"))).alias("m"))
-    slots = F.transform(
-        F.sequence(F.lit(0), F.lit(len(attributes) - 1)), lambda i: F.coalesce(F.col("m")[i], F.lit(missing))
+        df.join(F.broadcast(places), attribute_col)  # as many rows as there are attributes
+        .groupBy(id_col, "__i")
+        .agg(one.alias("__v"))
+        .select(id_col, F.struct("__i", F.coalesce("__v", F.lit(missing)).alias("__v")).alias("__cell"))
     )
+    packed = cells.groupBy(id_col).agg(F.array_sort(F.collect_list("__cell")).alias("__cells"))
+    by_place = F.map_from_entries("__cells")
+    spread = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.coalesce(by_place[i], F.lit(missing)))
+    # most ids have every attribute: then the sorted cells are the vector
+    slots = F.when(F.size("__cells") == n, F.col("__cells.__v")).otherwise(spread)
     return packed.select(id_col, array_to_vector(slots).alias(output_col))
 
 

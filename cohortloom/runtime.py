@@ -58,6 +58,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path))
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
 def present(df: DataFrame, columns: Iterable[str]) -> list[str]:
     """The given columns that the frame has, in the given order."""
     have = set(df.columns)

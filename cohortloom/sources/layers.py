@@ -5,12 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.operators.guards import guard_not_empty
-from cohortloom.runtime import path_exists
+from cohortloom.runtime import path_exists, remove_path
 
 LAYERS = ("bronze", "silver", "gold")
 SLICE = "ingestion_date"
@@ -66,15 +65,23 @@ def write_bronze_slice(df: DataFrame, path: str, ingestion_date: str | None = No
 
     Running twice with the same input leaves one copy. An empty frame is refused.
     """
-    guard_not_empty(df, f"the slice for {path}")
+    spark = df.sparkSession
     stamp = ingestion_date or dt.date.today().isoformat()
+    existed = table_exists(spark, path)
+    # counted while writing: an empty frame has no slice, so it replaces none
+    written = Observation()
     (
         df.withColumn(SLICE, F.lit(stamp))
+        .observe(written, F.count(F.lit(1)).alias("rows"))
         .write.partitionBy(SLICE)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .parquet(path)
     )
+    if not written.get["rows"]:
+        if not existed:
+            remove_path(spark, path)
+        raise ValueError(f"the slice for {path} has no rows")
     return path
 
 
