@@ -20,6 +20,7 @@ FOREST_TREES = 300
 FOREST_MIN_LEAF = 10
 SEED = 42
 TIME_BINS = 20
+FEATURE_BINS = 256
 ROWS_PER_PARTITION = 20_000
 
 
@@ -48,7 +49,7 @@ def train_boosted_classifier(
     trees = GBTClassifier(
         featuresCol="__features", labelCol="__label", seed=SEED,
         maxDepth=chosen["max_depth"], stepSize=chosen["eta"], maxIter=chosen["n_estimators"],
-        checkpointInterval=10,
+        maxBins=FEATURE_BINS, checkpointInterval=10,
     )
     return trees.fit(data)
 
@@ -150,6 +151,7 @@ def train_survival_forest(
     data = _training_rows(_with_bin(periods).select("__features", "__label"), "periods")
     forest = RandomForestClassifier(
         featuresCol="__features", labelCol="__label", seed=SEED,
-        numTrees=n_estimators, minInstancesPerNode=FOREST_MIN_LEAF, cacheNodeIds=True, checkpointInterval=10,
+        numTrees=n_estimators, minInstancesPerNode=FOREST_MIN_LEAF,
+        maxBins=FEATURE_BINS, cacheNodeIds=True, checkpointInterval=10,
     )
     return SurvivalForest(forest.fit(data), tuple(covariate_cols), edges)
