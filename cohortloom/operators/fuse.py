@@ -25,18 +25,39 @@ def fuse_modalities(
     two modalities is prefixed by the modality's name. Null ids match nothing.
 
     Every modality has one row per id; only ``repeated`` may hold several, and the
-    other modalities are then repeated on each of its rows. The joins all start
-    from one frame of all ids, so its partitioning is reused by every join and no
-    joined result is shuffled again.
+    other modalities are then repeated on each of its rows. A modality is read more
+    than once, so it should be a stored table.
     """
     if not modalities:
         raise ValueError("no modalities given")
     blocks = _blocks(modalities, id_col)
     if check_unique:
         _check_unique(blocks, id_col, repeated)
-    lead = repeated or next(iter(blocks))
     known = {name: block.filter(F.col(id_col).isNotNull()) for name, block in blocks.items()}
+    if check_unique and repeated is None:
+        joined = _grouped(known, id_col)
+    else:
+        joined = _joined(known, id_col, repeated or next(iter(blocks)))
+    for block in blocks.values():
+        joined = joined.unionByName(block.filter(F.col(id_col).isNull()), allowMissingColumns=True)
+
+    flags = {has_flag(n): F.coalesce(F.col(has_flag(n)), F.lit(False)) for n in blocks}
+    columns = [c for block in blocks.values() for c in block.columns if c != id_col and c not in flags]
+    return joined.withColumns(flags).select(id_col, *columns, *flags)
+
+
+def _grouped(known: dict[str, DataFrame], id_col: str) -> DataFrame:
+    """With one row per id and modality the join is a union grouped by id: one shuffle."""
+    stacked = None
+    for block in known.values():
+        stacked = block if stacked is None else stacked.unionByName(block, allowMissingColumns=True)
+    values = [F.first(c, ignorenulls=True).alias(c) for c in stacked.columns if c != id_col]
+    return stacked.groupBy(id_col).agg(*values)
 
+
+def _joined(known: dict[str, DataFrame], id_col: str, lead: str) -> DataFrame:
+    """Left joins from the rows of ``lead`` and the ids it lacks. A left join keeps the
+    partitioning of its left side, so no joined result is shuffled again."""
     ids = None
     for name, block in known.items():
         if name != lead:
@@ -49,12 +70,7 @@ def fuse_modalities(
     for name, block in known.items():
         if name != lead:
             joined = joined.join(block, id_col, "left")
-    for name, block in blocks.items():
-        joined = joined.unionByName(block.filter(F.col(id_col).isNull()), allowMissingColumns=True)
-
-    flags = {has_flag(n): F.coalesce(F.col(has_flag(n)), F.lit(False)) for n in blocks}
-    columns = [c for block in blocks.values() for c in block.columns if c != id_col and c not in flags]
-    return joined.withColumns(flags).select(id_col, *columns, *flags)
+    return joined
 
 
 def _blocks(modalities: dict[str, DataFrame], id_col: str) -> dict[str, DataFrame]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -24,10 +24,10 @@ def table_profile(df: DataFrame) -> DataFrame:
     """One row per column: (column, type, rows, nulls, distinct_values).
 
     Values are counted per (column, value) first, so no task holds the distinct
-    values of a column.
+    values of a column. Long texts are counted by their SHA-256.
     """
     names = df.columns
-    texts = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"`{c}`").cast("string").alias("v")) for i, c in enumerate(names)])
+    texts = F.array(*[F.struct(F.lit(i).alias("i"), _short(f"`{c}`").alias("v")) for i, c in enumerate(names)])
     per_value = df.select(F.inline(texts)).groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
     per_column = per_value.groupBy("i").agg(
         F.sum("n").alias("rows"),
@@ -42,6 +42,11 @@ def table_profile(df: DataFrame) -> DataFrame:
     )
 
 
+def _short(column: str) -> Column:
+    text = F.col(column).cast("string")
+    return F.when(F.length(text) > 64, F.sha2(text, 256)).otherwise(text)
+
+
 def sample_rows(df: DataFrame, n: int = 5) -> DataFrame:
     return df.limit(n)
 

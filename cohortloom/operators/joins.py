@@ -1,6 +1,6 @@
-"""Equi-joins. No join carries a broadcast hint: inputs are tables of known size, so
-Catalyst broadcasts the ones below its threshold and shuffles the others, and
-adaptive execution splits the partitions of hot keys."""
+"""Equi-joins. A side is broadcast only by its size: stored tables have one that Catalyst
+knows, lookups are measured first. All others are shuffled, and adaptive execution
+splits the partitions of hot keys."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.runtime import materialize
+from cohortloom.runtime import materialize, small_side
 
 
 def distinct_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -27,7 +27,7 @@ def join_left_lookup(
     df: DataFrame, lookup: DataFrame, key: str, value_col: str, default: str | None = None
 ) -> DataFrame:
     """Add ``value_col`` by key; keys that are not listed get ``default``."""
-    joined = df.join(lookup.select(key, value_col), key, "left")
+    joined = df.join(small_side(lookup.select(key, value_col)), key, "left")
     if default is None:
         return joined
     return joined.withColumn(value_col, F.coalesce(value_col, F.lit(default)))

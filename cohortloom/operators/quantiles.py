@@ -3,8 +3,8 @@
 ``method="approx"`` is one aggregate with a bounded sketch per group.
 ``method="exact"`` uses the sketch only to find a narrow slice around each wanted
 rank; a second aggregate counts what lies outside the slices as a few totals and
-what lies inside by value, and the wanted element is read from those counts. No
-task ever holds the values of a whole group.
+what lies inside by value, and the wanted element is read from their running totals, which
+are taken in ranges. No task ever holds the values of a whole group.
 """
 
 from __future__ import annotations
@@ -12,9 +12,10 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortloom.operators.ordered import running_sums
 from cohortloom.runtime import any_of, attach, materialize
 
 SKETCH_ACCURACY = 10_000
@@ -94,17 +95,17 @@ def _pick(values: DataFrame, keys: list[str], probabilities: list[float], margin
     gap = sum((F.when(F.col("__v") > hi, 1).otherwise(0) for hi in highs), F.lit(0))
 
     # inside a slice: one row per value; between slices: one row in all
-    counts = (
+    counts = materialize(
         marked.withColumn("__slot", F.when(inside, F.col("__v")))
         .withColumn("__gap", F.when(F.col("__slot").isNull(), gap))
         .groupBy(*keys, "__col", "__n", "__gap", "__slot")
-        .agg(F.count(F.lit(1)).alias("__c"), F.min("__v").alias("__pos"))
+        .agg(F.count(F.lit(1)).alias("__c"), F.min("__v").alias("__pos")),
+        "counts",
     )
-    upto = Window.partitionBy(*keys, "__col").orderBy("__pos")
-    ranked = counts.withColumn("__upto", F.sum("__c").over(upto))
+    ranked = running_sums(counts, ["__pos"], ["__c"], [*keys, "__col"])
     picks, sure = [], []
     for p in probabilities:
-        reached = F.col("__upto") >= F.greatest(F.ceil(F.lit(float(p)) * F.col("__n")), F.lit(1))
+        reached = F.col("cum___c") >= F.greatest(F.ceil(F.lit(float(p)) * F.col("__n")), F.lit(1))
         picks.append(F.min(F.when(reached, F.col("__pos"))))
         sure.append(F.min_by(F.col("__slot").isNotNull(), F.when(reached, F.col("__pos"))))
     result = ranked.groupBy(*keys, "__col").agg(F.array(*picks).alias("__q"), F.array(*sure).alias("__s"))

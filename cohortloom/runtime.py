@@ -11,6 +11,9 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 * 1024 * 1024
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the session's checkpoint folder.
@@ -53,6 +56,25 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_side(df: DataFrame) -> DataFrame:
+    """A lookup marked for broadcast if, and only if, its measured size allows it.
+
+    The size of a computed or driver-made table is unknown to Catalyst, so its rows
+    are measured up to the bound first; a larger table is left to a shuffle join.
+    """
+    measured = (
+        df.limit(BROADCAST_ROWS + 1)
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.sum(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))).alias("bytes"),
+        )
+        .first()
+    )
+    if measured["rows"] <= BROADCAST_ROWS and (measured["bytes"] or 0) <= BROADCAST_BYTES:
+        return F.broadcast(df)
+    return df
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return bool(jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path))

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from cohortloom import defaults
 from cohortloom.operators.guards import guard_not_empty
+from cohortloom.runtime import small_side
 
 COUNT_SCHEMA = (
     "gene_id string, gene_name string, gene_type string, unstranded long, stranded_first long, "
@@ -60,7 +61,7 @@ def tag_file_lineage(rows: DataFrame, metadata: DataFrame, columns: Sequence[str
     listed are dropped.
     """
     listing = metadata.select(file_id_col, *[c for c in columns if c != file_id_col])
-    return rows.join(listing, file_id_col, "inner")
+    return rows.join(small_side(listing), file_id_col, "inner")
 
 
 def file_metadata_filter(
@@ -109,7 +110,9 @@ def date_lookback_range(
         after = end + dt.timedelta(days=1)
         inside = (F.col(date_col) >= F.lit(begin)) & (F.col(date_col) < F.lit(after))
     chosen = df.filter(inside)
-    return chosen if places is None else chosen.join(places.select(*place_cols), list(place_cols), "left_semi")
+    return chosen if places is None else chosen.join(
+        small_side(places.select(*place_cols)), list(place_cols), "left_semi"
+    )
 
 
 def fixed_width_columns(

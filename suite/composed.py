@@ -106,7 +106,7 @@ def ingest_methylation(spark, sf):
     (
         table(spark, sf, "lineitem")
         .select(frames.file_of(F.col("l_orderkey")).alias("file_id"), F.concat_ws("\t", probe, beta).alias("value"))
-        .repartition("file_id").write.partitionBy("file_id").text(folder)
+        .hint("rebalance", "file_id").write.partitionBy("file_id").text(folder)
     )
     root = lake(spark)
     ingest.ingest_methylation(

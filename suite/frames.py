@@ -181,28 +181,19 @@ COUNT_SQL = f"""
 
 
 def land_count_files(spark: SparkSession, sf_dir: str) -> str:
-    """Write the count files; each has a comment line, a header and its rows."""
-    columns = ["gene_id", "gene_name", "gene_type", "unstranded", "stranded_first", "stranded_second",
-               "tpm_unstranded", "fpkm_unstranded"]
-    rows = count_rows(spark, sf_dir)
-    totals = summary_rows(spark, sf_dir)
+    """Write the count files, each with a header, a comment line and its rows.
 
-    def line(df: DataFrame, place: int) -> DataFrame:
-        cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) if c in df.columns else F.lit("") for c in columns]
-        return df.select("file_id", F.lit(place).alias("place"), F.concat_ws("\t", *cells).alias("value"))
-
-    heads = totals.select("file_id").distinct().select(
-        "file_id", F.inline(F.array(
-            F.struct(F.lit(0).alias("place"), F.lit("# gene-model: suite").alias("value")),
-            F.struct(F.lit(1).alias("place"), F.lit("\t".join(columns)).alias("value")),
-        )),
-    )
+    A file that is too large for one task is written as several, each with a header.
+    """
+    totals = summary_rows(spark, sf_dir)
+    comments = totals.select("file_id").distinct().withColumn("gene_id", F.lit("# gene-model: suite"))
+    rows = count_rows(spark, sf_dir)
+    for part in (totals, comments):
+        rows = rows.unionByName(part, allowMissingColumns=True)
     path = scratch_path(spark, "counts")
-    lines = heads.unionByName(line(totals, 2)).unionByName(line(rows, 3))
-    (
-        lines.repartition("file_id").sortWithinPartitions("file_id", "place", "value")
-        .select("file_id", "value").write.partitionBy("file_id").text(path)
-    )
+    writer = rows.hint("rebalance", "file_id").write.partitionBy("file_id")
+    # the writer quotes a leading comment sign, so give it another one
+    writer.option("comment", "~").csv(path, sep="\t", header=True)
     return path
 
 
