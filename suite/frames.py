@@ -133,7 +133,7 @@ def count_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         file_of(F.col("l_orderkey")).alias("file_id"),
         F.concat_ws(
             "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-            F.round(F.col("l_extendedprice") * 100).cast("long"),
+            F.floor(F.col("l_extendedprice") * 100 + 0.5),
         ).alias("gene_id"),
         F.concat(F.lit("G"), F.col("l_partkey") % 300).alias("gene_name"),
         F.col("l_returnflag").alias("gene_type"),
@@ -164,7 +164,7 @@ def summary_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 COUNT_SQL = f"""
     select 'f' || cast(floor(l_orderkey / {ORDERS_PER_FILE}) as bigint) as file_id,
            l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-'
-               || cast(round(l_extendedprice * 100) as bigint) as gene_id,
+               || cast(floor(l_extendedprice * 100 + 0.5) as bigint) as gene_id,
            'G' || (l_partkey % 300) as gene_name, l_returnflag as gene_type,
            cast(l_quantity as bigint) as unstranded, l_suppkey as stranded_first,
            cast(l_linenumber as bigint) as stranded_second, l_extendedprice as tpm_unstranded,
