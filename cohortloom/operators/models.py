@@ -151,7 +151,7 @@ def train_survival_forest(
     data = _training_rows(_with_bin(periods).select("__features", "__label"), "periods")
     forest = RandomForestClassifier(
         featuresCol="__features", labelCol="__label", seed=SEED,
-        numTrees=n_estimators, minInstancesPerNode=FOREST_MIN_LEAF,
-        maxBins=FEATURE_BINS, cacheNodeIds=True, checkpointInterval=10,
+        numTrees=n_estimators, minInstancesPerNode=FOREST_MIN_LEAF, cacheNodeIds=True,
+        checkpointInterval=10,
     )
     return SurvivalForest(forest.fit(data), tuple(covariate_cols), edges)
