@@ -80,6 +80,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path))
 
 
+def folder_entries(spark: SparkSession, path: str) -> set[str]:
+    """Names of the files and folders in a folder; none if it is absent."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(jvm_path):
+        return set()
+    return {entry.getPath().getName() for entry in files.listStatus(jvm_path)}
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)

@@ -87,8 +87,9 @@ def file_metadata_filter(
 
 
 def limit_files(metadata: DataFrame, n: int, file_id_col: str = "file_id") -> DataFrame:
-    """The first ``n`` entries of a file listing by id."""
-    return metadata.orderBy(file_id_col).limit(n)
+    """The first ``n`` entries of a file listing by id, the entries of one file by the rest."""
+    rest = [f.name for f in metadata.schema.fields if f.name != file_id_col and not isinstance(f.dataType, T.MapType)]
+    return metadata.orderBy(file_id_col, *[F.col(f"`{c}`") for c in rest]).limit(n)
 
 
 def date_lookback_range(

@@ -5,11 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.runtime import path_exists, remove_path
+from cohortloom.runtime import folder_entries, path_exists, remove_path
 
 LAYERS = ("bronze", "silver", "gold")
 SLICE = "ingestion_date"
@@ -27,10 +27,7 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 def slice_dates(spark: SparkSession, path: str) -> list[str]:
     """Dates of the slices of a bronze table, from its folder names alone."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    entries = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
-    names = [entry.getPath().getName() for entry in entries]
-    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{SLICE}="))
+    return sorted(n.split("=", 1)[1] for n in folder_entries(spark, path) if n.startswith(f"{SLICE}="))
 
 
 def scan_layer(
@@ -68,17 +65,18 @@ def write_bronze_slice(df: DataFrame, path: str, ingestion_date: str | None = No
     spark = df.sparkSession
     stamp = ingestion_date or dt.date.today().isoformat()
     existed = table_exists(spark, path)
-    # counted while writing: an empty frame has no slice, so it replaces none
-    written = Observation()
+    folder = f"{path}/{SLICE}={stamp}"
+    before = folder_entries(spark, folder)
     (
         df.withColumn(SLICE, F.lit(stamp))
-        .observe(written, F.count(F.lit(1)).alias("rows"))
         .write.partitionBy(SLICE)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .parquet(path)
     )
-    if not written.get["rows"]:
+    # an empty frame writes no file and so replaces no slice; asking it beforehand
+    # would compute it twice
+    if folder_entries(spark, folder) <= before:
         if not existed:
             remove_path(spark, path)
         raise ValueError(f"the slice for {path} has no rows")
