@@ -6,8 +6,8 @@ import __spark_entry__
 from tests.oracle import connect, differences
 
 SMALL, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
-# the smallest data makes a single count file, fewer than an expression read needs
-NEEDS_FILES = {"guard_min_groups", "ingest_rna_seq"}
+# the smallest data makes a single count file, fewer than expression data needs
+NEEDS_FILES = {"guard_min_groups", "ingest_rna_seq", "patient_features_tcga"}
 NO_SQL = sorted(set(__spark_entry__.queries()) - set(__spark_entry__.oracle_sql()))
 SLOW = {"train_boosted_classifier", "feature_importance", "classification_run", "survival_run"}
 
