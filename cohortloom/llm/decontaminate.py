@@ -26,7 +26,8 @@ BLOCK_BYTES = 16 << 20
 _FOLD = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
 )
-WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+# the words of a text that is not folded yet
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 SPANS = "array<struct<start:long,end:long,words:long>>"
 
 
