@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import decontaminate, pii, secret_scan
+from cohortloom.llm import decontaminate, packing, pii, secret_scan, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -107,3 +108,23 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(base, 256).alias("base_sha256"),
         secret_scan.spans_text("pii_spans").alias("spans"),
     )
+
+
+@_query("op6_packing")
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack_documents(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), carry=["doc_id"]
+    )
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+@_query("op3_token_counts")
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    end = 49407  # the end of text of this vocabulary
+    contents = token_files.write_token_files(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end
+    )
+    counts = token_files.count_tokens(spark, contents, end)
+    return counts.join(contents, ["path", "ordinal"]).select("doc_id", "n_tokens", "terminated")
