@@ -25,7 +25,7 @@ def open_input(address: str) -> pafs.FileSystem:
 
 def open_output(address: str):
     store, path = _located(address)
-    return store.open_output_stream(path)
+    return store.open_output_stream(path, compression=None)
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import decontaminate, packing, pii, secret_scan, token_files
+from cohortloom.llm import decontaminate, packing, pii, secret_scan, token_files, warc
+from cohortloom.runtime import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -128,3 +129,48 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     counts = token_files.count_tokens(spark, contents, end)
     return counts.join(contents, ["path", "ordinal"]).select("doc_id", "n_tokens", "terminated")
+
+
+# DuckDB has no base-32, so the 20 bytes of the digest are spelled five bits at a time
+_OP1_SQL = r"""
+with plain as (
+  select page_id, coalesce(encode(html), ''::blob) as payload from pages
+), hashed as (
+  select page_id, octet_length(payload) as bytes, sha1(payload) as hex from plain
+), spelled as (
+  select page_id, bytes, array_to_string([
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      cast((('0x' || substr(hex, 10 * (k // 8) + 1, 10))::bigint >> (35 - 5 * (k % 8))) & 31 as integer) + 1, 1)
+    for k in range(0, 32)], '') as payload_digest from hashed
+), grouped as (
+  select *, max(page_id) over (partition by payload_digest) as response from spelled
+)
+select page_id, cast(bytes as bigint) as payload_bytes, payload_digest,
+  case when page_id = response then 'response' else 'revisit' end as record_type,
+  case when page_id <> response then response end as refers_to
+from grouped
+"""
+
+
+@_query("op1_warc_archives", _OP1_SQL)
+def op1_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write_archives(_table(spark, sf_dir, "pages"))
+    records = warc.read_archives(spark, archives).select(
+        "record_type",
+        F.col("page_key").cast("long").alias("page_id"),
+        F.col("refers_to_key").cast("long").alias("refers_to"),
+        "payload_digest",
+        F.octet_length("payload").cast("long").alias("stored_bytes"),
+    )
+    records = materialize(records, "records")
+    # a revisit has no payload of its own: its length is that of the record it refers to
+    referred = records.filter("record_type = 'response'").select(
+        F.col("page_id").alias("refers_to"), F.col("stored_bytes").alias("referred_bytes")
+    ).distinct()
+    return records.join(referred, "refers_to", "left").select(
+        "page_id",
+        F.coalesce("stored_bytes", "referred_bytes").alias("payload_bytes"),
+        "payload_digest",
+        "record_type",
+        "refers_to",
+    )
