@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import decontaminate, packing, pii, secret_scan, token_files, warc
+from cohortloom.llm import decontaminate, packing, pii, secret_scan, token_files, vectors, warc
 from cohortloom.runtime import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -174,3 +174,31 @@ def op1_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record_type",
         "refers_to",
     )
+
+
+# cosines of all pairs in double precision, and the least id that links reach
+_OP8_SQL = r"""
+with recursive given as (
+  select vec_id, case when embedding is not null and len(embedding) > 0
+      and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+      and len(list_filter(embedding, lambda x: x <> 0)) > 0 then embedding::double[] end as v from embeddings
+), links as (
+  select a.vec_id as a, b.vec_id as b from given a join given b
+    on a.vec_id <> b.vec_id and len(a.v) = len(b.v) and list_cosine_similarity(a.v, b.v) >= 0.9
+), reached as (
+  select vec_id as node, vec_id as root from given
+  union
+  select l.b, r.root from reached r join links l on l.a = r.node
+), counted as (
+  select a as vec_id, count(*) as n_links from links group by a
+), least as (
+  select node as vec_id, min(root) as component_id from reached group by node
+)
+select g.vec_id, cast(coalesce(c.n_links, 0) as bigint) as n_links, l.component_id, g.vec_id = l.component_id as kept
+from given g left join counted c using (vec_id) join least l using (vec_id)
+"""
+
+
+@_query("op8_vector_dedup", _OP8_SQL)
+def op8_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.link_vectors(_table(spark, sf_dir, "embeddings"))
