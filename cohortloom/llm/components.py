@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,3 +56,65 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
     nodes = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return nodes.unionByName(nodes.select(F.col("root").alias("node"), "root").distinct())
+
+
+# what a tile says of its members: the weight of their links, and links enough to keep its groups together
+FOUND = "key binary, links long, peers array<binary>"
+
+
+def found_batch(keys: np.ndarray, links: np.ndarray, peers: list[list[int]]) -> pa.RecordBatch | None:
+    """The rows of a tile that have links, in the form of ``FOUND``."""
+    out = [i for i in range(len(keys)) if links[i] or peers[i]]
+    if not out:
+        return None
+    columns = [
+        pa.array([keys[i] for i in out], pa.binary()),
+        pa.array(links[out], pa.int64()),
+        pa.array([[keys[j] for j in peers[i]] for i in out], pa.list_(pa.binary())),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["key", "links", "peers"])
+
+
+def forest(linked: np.ndarray, rows: np.ndarray, columns: np.ndarray, n: int) -> list[list[int]]:
+    """A spanning forest of the links of a tile: for each row the peers that join it to another tree."""
+    parent = list(range(n))
+    peers: list[list[int]] = [[] for _ in range(n)]
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for i in np.flatnonzero(linked.any(axis=1)):
+        for j in columns[np.flatnonzero(linked[i])].tolist():
+            x, y = find(int(rows[i])), find(j)
+            if x != y:
+                parent[x] = y
+                peers[rows[i]].append(j)
+    return peers
+
+
+def linked_classes(classes: DataFrame, found: DataFrame) -> DataFrame:
+    """(``key``, ``n_links``, ``root``) of every class, written.
+
+    ``classes`` has ``key``, ``weight`` (rows of the class) and ``least`` (its least row, in any type with an order);
+    ``found`` is a written table of ``FOUND``. ``n_links`` counts the other rows that a row of the class is linked with,
+    those of its own class among them; ``root`` is the least row of the component.
+    """
+    others = found.groupBy("key").agg(F.sum("links").alias("others"))
+    parts = materialize(components(found.select("key", F.explode("peers").alias("peer")), "key", "peer"), "parts")
+    least = parts.join(classes.select(F.col("key").alias("node"), "least"), "node")
+    roots = materialize(least.groupBy("root").agg(F.min("least").alias("least")), "roots")
+    reached = parts.join(roots, "root").select(F.col("node").alias("key"), F.col("least").alias("root"))
+    return materialize(
+        classes.select("key", "weight", "least")
+        .join(others, "key", "left")
+        .join(reached, "key", "left")
+        .select(
+            "key",
+            (F.col("weight") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
+            F.coalesce("root", "least").alias("root"),
+        ),
+        "classes",
+    )

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import decontaminate, packing, pii, secret_scan, token_files, vectors, warc
+from cohortloom.llm import decontaminate, jaccard_join, packing, pii, secret_scan, token_files, vectors, warc
 from cohortloom.runtime import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -202,3 +202,9 @@ from given g left join counted c using (vec_id) join least l using (vec_id)
 @_query("op8_vector_dedup", _OP8_SQL)
 def op8_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.link_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+@_query("op4_jaccard_join")
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = jaccard_join.linked_documents(_table(spark, sf_dir, "documents"))
+    return linked.select(F.col("id").alias("doc_id"), F.col("root.id").alias("class_id"), "n_links")

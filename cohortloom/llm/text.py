@@ -115,10 +115,9 @@ def shingle_hashes(words: np.ndarray, offsets: np.ndarray, size: int = 5) -> tup
         return np.zeros(0, np.uint64), out_offsets
     begin = np.repeat(offsets[:-1] - out_offsets[:-1], taken) + np.arange(total)
     limit = np.repeat(offsets[1:], taken)
-    out, weight = np.zeros(total, np.uint64), _MULT
-    for step in range(size):
+    out, weights = np.zeros(total, np.uint64), np.cumprod(np.full(size, _POWER, np.uint64)) * _MULT
+    for step, weight in enumerate(weights):
         at = begin + step
         have = at < limit
         out[have] += (words[at[have]] + np.uint64(step + 1)) * weight
-        weight = weight * _POWER
     return mixed(out), out_offsets

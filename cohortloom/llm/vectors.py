@@ -11,7 +11,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.components import components
+from cohortloom.llm.components import FOUND, forest, found_batch, linked_classes
 from cohortloom.llm.tiles import gathered, runs, with_tiles
 from cohortloom.runtime import ensure_checkpoint_dir, materialize
 
@@ -93,19 +93,8 @@ def link_vectors(
     placed = materialize(_in_cells(distinct, centres, margin), "placed")
     tiles = with_tiles(placed, "cell", "key", block_rows)
     compared = materialize(gathered(tiles, "tile").mapInArrow(_compared(threshold), FOUND), "found")
-    nodes = compared.groupBy("key").agg(F.sum("links").alias("others"))
-    roots = _roots(distinct, compared)
-    per_class = (
-        distinct.select("key", "weight", "least")
-        .join(nodes, "key", "left")
-        .join(roots, "key", "left")
-        .select(
-            "key",
-            (F.col("weight") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
-            F.coalesce("root", "least").alias("component_id"),
-        )
-    )
-    joined = members.join(materialize(per_class, "classes"), "key").select("id", "n_links", "component_id")
+    classes = linked_classes(distinct, compared)
+    joined = members.join(classes, "key").select("id", "n_links", F.col("root").alias("component_id"))
     alone = rows.filter(~usable("v")).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     found = joined.unionByName(alone).select(
         F.col("id").alias(id_col),
@@ -116,18 +105,6 @@ def link_vectors(
     return found
 
 
-FOUND = "key binary, links long, peers array<binary>"
-
-
-def _roots(distinct: DataFrame, compared: DataFrame) -> DataFrame:
-    """The least id of each class's component; classes without an id pass links on."""
-    edges = compared.select("key", F.explode("peers").alias("peer"))
-    parts = materialize(components(edges, "key", "peer"), "parts")
-    least = parts.join(distinct.select(F.col("key").alias("node"), "least"), "node")
-    roots = materialize(least.groupBy("root").agg(F.min("least").alias("least")), "roots")
-    return parts.join(roots, "root").select(F.col("node").alias("key"), F.col("least").alias("root"))
-
-
 def _in_cells(distinct: DataFrame, centres: np.ndarray | None, margin: float) -> DataFrame:
     """(``cell``, ``key``, ``unit``, ``weight``, ``home``) of every home and visit. Cells of other lengths are apart."""
     shared = distinct.sparkSession.sparkContext.broadcast(centres)
@@ -191,17 +168,9 @@ def _compared(threshold: float):
             counts[rows] += np.where(home[rows], linked @ weight[columns], 0)
             if not same:
                 counts[columns] += np.where(home[columns], linked.T @ weight[rows], 0)
-            peers = _forest(linked, rows, columns, len(keys))
-            out = [i for i in range(len(keys)) if counts[i] or peers[i]]
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([keys[i] for i in out], pa.binary()),
-                        pa.array(counts[out], pa.int64()),
-                        pa.array([[keys[j] for j in peers[i]] for i in out], pa.list_(pa.binary())),
-                    ],
-                    ["key", "links", "peers"],
-                )
+            peers = forest(linked, rows, columns, len(keys))
+            if (batch := found_batch(keys, counts, peers)) is not None:
+                yield batch
 
     return compared
 
@@ -213,23 +182,3 @@ def near_cosines(a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
     for i, j in zip(*np.nonzero(np.abs(products - threshold) < ROUNDING)):
         linked[i, j] = sum(float(x) * float(y) for x, y in zip(a[i], b[j])) >= threshold
     return linked
-
-
-def _forest(linked: np.ndarray, rows: np.ndarray, columns: np.ndarray, n: int) -> list[list[int]]:
-    """For each row at most one linked row per tree it joins: enough links to keep the tile's groups together."""
-    parent = list(range(n))
-    peers: list[list[int]] = [[] for _ in range(n)]
-
-    def find(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    for i in np.flatnonzero(linked.any(axis=1)):
-        for j in columns[np.flatnonzero(linked[i])]:
-            x, y = find(rows[i]), find(j)
-            if x != y:
-                parent[x] = y
-                peers[rows[i]].append(int(j))
-    return peers
