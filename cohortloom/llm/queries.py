@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import decontaminate, jaccard_join, packing, pii, secret_scan, token_files, vectors, warc
+from cohortloom.llm import decontaminate, fuzzy_lines, jaccard_join, packing, pii, secret_scan, token_files, vectors, warc
 from cohortloom.runtime import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -208,3 +208,14 @@ def op8_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked = jaccard_join.linked_documents(_table(spark, sf_dir, "documents"))
     return linked.select(F.col("id").alias("doc_id"), F.col("root.id").alias("class_id"), "n_links")
+
+
+@_query("op5_line_dedup")
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = fuzzy_lines.drop_repeated_lines(_table(spark, sf_dir, "documents"))
+    return kept.select(
+        "doc_id",
+        "n_removed",
+        F.length("text").cast("long").alias("kept_chars"),
+        F.sha2("text", 256).alias("kept_sha256"),
+    )

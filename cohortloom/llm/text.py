@@ -6,7 +6,7 @@ from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 CHUNK_CHARS = 1 << 20
@@ -38,23 +38,16 @@ def strings(column: pa.Array | pa.ChunkedArray) -> list[str]:
     return [x or "" for x in column.to_pylist()]
 
 
-def row_key(*columns: str) -> Column:
+def row_key(*columns: str | Column) -> Column:
     """A digest that tells the rows of a table apart by the given columns; nulls count as a value.
 
     Rows that agree in all of them share a key and are one document to the operators.
     """
-    parts = [F.when(F.col(c).isNull(), F.lit("n")).otherwise(F.concat(F.lit("v"), F.col(c).cast("string"))) for c in columns]
+    given = [F.col(c) if isinstance(c, str) else c for c in columns]
+    parts = [F.when(c.isNull(), F.lit("n")).otherwise(F.concat(F.lit("v"), c.cast("string"))) for c in given]
     return F.unhex(F.md5(F.concat_ws("\x00", *parts)))
 
 
-def free_name(df: DataFrame, name: str) -> str:
-    """``name``, or with underscores in front of it where the frame already has such a column."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name = f"_{name}"
-    return name
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     """A finaliser that spreads 64-bit values over the whole range."""
     x = x ^ (x >> np.uint64(31))

@@ -44,6 +44,28 @@ def with_tiles(df: DataFrame, group: str, member: str, block: int, weight: str |
     )
 
 
+def with_large_tiles(df: DataFrame, group: str, member: str, block: int) -> DataFrame:
+    """Every row once per ``tile`` (a number) it takes part in; only groups of more than ``block`` rows are cut.
+
+    A tile of two blocks holds all rows of both, so rows of one block meet again in each of its tiles. Meant for many
+    small groups: they are neither counted into a join nor shuffled here. ``group`` must be a number.
+    """
+    sizes = materialize(
+        df.groupBy(group)
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .filter(F.col("__n") > block)
+        .select(group, F.ceil(F.col("__n") / F.lit(block)).cast("int").alias("__blocks")),
+        "sizes",
+    )
+    own = F.pmod(F.xxhash64(member), F.col("__blocks").cast("long")).cast("int")
+    others = F.coalesce(F.sequence(F.lit(0), F.col("__blocks") - 1), F.array(F.lit(-1)))
+    placed = df.join(sizes, group, "left").withColumn("__own", own).withColumn("__other", F.explode(others))
+    cut = F.xxhash64(group, F.least("__own", "__other"), F.greatest("__own", "__other"))
+    return placed.withColumn("tile", F.when(F.col("__own").isNull(), F.col(group)).otherwise(cut)).drop(
+        "__blocks", "__own", "__other"
+    )
+
+
 def gathered(df: DataFrame, key: str) -> DataFrame:
     """Rows of a key together and in one task, in runs."""
     return df.repartition(F.col(key)).sortWithinPartitions(key)
