@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import decontaminate, fuzzy_lines, jaccard_join, packing, pii, secret_scan, token_files, vectors, warc
+from cohortloom.llm import decontaminate, fuzzy_lines, jaccard_join, language, packing, pii, secret_scan, token_files, vectors, warc
 from cohortloom.runtime import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -219,3 +219,26 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("text").cast("long").alias("kept_chars"),
         F.sha2("text", 256).alias("kept_sha256"),
     )
+
+
+@_query("op7_language_id")
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = language.identify_languages(docs, F.col("text"), F.col("lang"), F.col("source"), carry=["doc_id", "lang"])
+    return found.select(
+        "doc_id", F.col("lang").alias("declared"), "language", F.round("confidence", 6).alias("confidence"), "accepted"
+    )
+
+
+@_query("language_of_pages")
+def language_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The operator of op7 where all its evidence is at hand: markup, address suffix and host."""
+    html = F.col("html")
+    found = language.identify_languages(
+        _table(spark, sf_dir, "pages"),
+        language.markup_text(html),
+        language.markup_language(html),
+        language.address_host(F.col("url")),
+        carry=["page_id"],
+    )
+    return found.withColumn("confidence", F.round("confidence", 6))
