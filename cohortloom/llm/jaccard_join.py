@@ -328,3 +328,19 @@ def _found(rows, classes, n_runs, levels, small_bucket, tile_shingles, agreement
 def _sketch(tokens: str):
     """The low 16 bits of every least token, packed."""
     return F.unhex(F.array_join(F.transform(tokens, lambda t: F.lpad(F.hex(t.bitwiseAND(F.lit(0xFFFF))), 4, "0")), ""))
+
+
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+    """The rows of ``df`` without near duplicates: of every component of :func:`linked_documents` its least row stays.
+
+    Rows that repeat both id and text are one document, of which one row stays; texts without words are in no group but
+    that of their repetitions.
+    """
+    linked = linked_documents(df, id_col, text_col, **settings)
+    first = materialize(linked.filter(F.col("root.text_key") == F.col("text_key")).select("text_key").distinct(), "first")
+    key = "text_key"
+    while key in df.columns:
+        key = f"_{key}"
+    keyed = df.withColumn(key, row_key(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")))
+    joined = keyed.join(first.withColumnRenamed("text_key", key), key)
+    return joined.dropDuplicates([key]).select(*[F.col(f"`{c}`") for c in df.columns])
