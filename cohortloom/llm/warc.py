@@ -87,7 +87,11 @@ def parse(data: bytes) -> Record:
     if not gap:
         raise ArchiveError("the header does not end")
     headers: dict[str, str] = {}
-    for line in head.decode("utf-8").split("\r\n"):
+    try:
+        lines = head.decode("utf-8").split("\r\n")
+    except UnicodeDecodeError as e:
+        raise ArchiveError("a header that is not UTF-8") from e
+    for line in lines:
         name, colon, value = line.partition(":")
         if not colon or not re.fullmatch(r"[!#$%&'*+.^_`|~0-9A-Za-z-]+", name):
             raise ArchiveError(f"malformed header line {line!r}")
@@ -124,7 +128,7 @@ class ArchiveWriter:
 
     def __init__(self, out: BinaryIO, dictionary: zstandard.ZstdCompressionDict | None, level: int = 3):
         self.out, self.size = out, 0
-        self.compressor = zstandard.ZstdCompressor(level=level, dict_data=dictionary, write_content_size=True)
+        self.compressor = zstandard.ZstdCompressor(level=level, dict_data=dictionary, write_checksum=True)
         if dictionary:
             content = dictionary.as_bytes()
             self._put(struct.pack("<II", DICTIONARY_FRAME, len(content)) + content)
