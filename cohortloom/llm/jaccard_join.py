@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.llm.components import FOUND, forest, found_batch, linked_classes
+from cohortloom.llm.prefilter import probably_in, split_by
 from cohortloom.llm.text import bounded_batches, chunks, mixed, row_key, shingle_hashes, strings, word_hashes
 from cohortloom.llm.tiles import gathered, runs, with_tiles
 from cohortloom.runtime import materialize
@@ -318,10 +319,9 @@ def _found(rows, classes, n_runs, levels, small_bucket, tile_shingles, agreement
     sources = materialize(
         kept.select("key").distinct().join(classes.select("key", "least.text_key"), "key"), "sources"
     )
-    texts = rows.select("text_key", "text").join(sources, "text_key").select("key", "text")
-    sets = materialize(
-        texts.mapInArrow(_token_sets(words), "key binary, tokens binary").dropDuplicates(["key"]), "sets"
-    )
+    texts = probably_in(rows.select("text_key", "text"), sources, "text_key").join(sources, "text_key")
+    texts = texts.dropDuplicates(["text_key"]).select("key", "text")
+    sets = materialize(texts.mapInArrow(_token_sets(words), "key binary, tokens binary"), "sets")
     return gathered(kept.join(sets, "key"), "tile").mapInArrow(_verified(agreement, threshold), FOUND)
 
 
@@ -337,10 +337,17 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **se
     that of their repetitions.
     """
     linked = linked_documents(df, id_col, text_col, **settings)
-    first = materialize(linked.filter(F.col("root.text_key") == F.col("text_key")).select("text_key").distinct(), "first")
-    key = "text_key"
-    while key in df.columns:
-        key = f"_{key}"
-    keyed = df.withColumn(key, row_key(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")))
-    joined = keyed.join(first.withColumnRenamed("text_key", key), key)
-    return joined.dropDuplicates([key]).select(*[F.col(f"`{c}`") for c in df.columns])
+    stays = F.col("root.text_key") == F.col("text_key")
+    # rows that may have to go; all others stay where they are
+    doubtful = materialize(
+        linked.groupBy("text_key")
+        .agg(F.count(F.lit(1)).alias("n"), F.max(stays).alias("stays"))
+        .filter("n > 1 or not stays")
+        .select("text_key", "stays"),
+        "doubtful",
+    )
+    names = df.columns
+    keyed = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], row_key(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias("text_key"))
+    maybe, rest = split_by(keyed, doubtful, "text_key")
+    kept = maybe.join(doubtful, "text_key", "left").filter("stays is null or stays").dropDuplicates(["text_key"])
+    return rest.unionByName(kept.drop("stays")).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
