@@ -19,7 +19,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _plain(value):
-    if value is None or value is pd.NaT or (isinstance(value, float) and math.isnan(value)):
+    if value is None or value is pd.NaT or value is pd.NA or (isinstance(value, float) and math.isnan(value)):
         return None
     if hasattr(value, "item"):
         value = value.item()
