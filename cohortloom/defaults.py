@@ -67,9 +67,6 @@ MODEL_FEATURES = ["stage_rank", *[f"expression_pca_{i}" for i in range(MAX_COMPO
 # Operator and run parameters.
 TOP_GENES = 2000
 MIN_EXPRESSION_FILES = 5
-EXPRESSION_FILE_LIMIT = 25
-METHYLATION_FILE_LIMIT = 5
-FILE_LISTING_SIZE = 1000
 LOOKBACK_DAYS = 30
 MAX_SHIFT_DAYS = 365
 MAD_SCALE = 1.4826

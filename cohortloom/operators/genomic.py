@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline
+import numpy as np
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -52,14 +52,18 @@ def reduce_expression_pca(
 
 
 def reduce_vector_pca(df: DataFrame, vector_col: str, k: int, id_col: str = "patient_key") -> DataFrame:
-    """The same from one vector per id; no wide table is ever built."""
-    stages = [
-        StandardScaler(inputCol=vector_col, outputCol="__scaled", withMean=True, withStd=True),
-        PCA(k=k, inputCol="__scaled", outputCol="__components"),
-    ]
-    reduced = Pipeline(stages=stages).fit(df).transform(df)
-    flat = reduced.select(id_col, vector_to_array("__components").alias("__a"))
-    return flat.select(id_col, *[F.col("__a")[i].alias(f"expression_pca_{i}") for i in range(k)])
+    """The same from one vector per id; no wide table is ever built. The largest loading of a component is positive."""
+    scaler = StandardScaler(inputCol=vector_col, outputCol="__scaled", withMean=True, withStd=True).fit(df)
+    scaled = scaler.transform(df).select(id_col, "__scaled")
+    axes = PCA(k=k, inputCol="__scaled", outputCol="__components").fit(scaled)
+    # an axis may point either way: let its largest loading be positive
+    loadings = axes.pc.toArray()
+    largest = np.abs(loadings).argmax(axis=0)
+    signs = np.where(loadings[largest, np.arange(k)] < 0, -1.0, 1.0)
+    values = vector_to_array("__components")
+    return axes.transform(scaled).select(
+        id_col, *[(F.get(values, F.lit(i)) * F.lit(float(s))).alias(f"expression_pca_{i}") for i, s in enumerate(signs)]
+    )
 
 
 def aggregate_mutation_burden(
@@ -74,6 +78,10 @@ def aggregate_mutation_burden(
     listed pathway count as unmapped.
     """
     mapped = join_left_lookup(mutations, gene_pathways, "gene", "pathway", defaults.UNMAPPED_PATHWAY)
-    grouped = mapped.groupBy(id_col)
-    pivoted = grouped.pivot("pathway", list(pathways)) if pathways else grouped.pivot("pathway")
-    return pivoted.agg(F.count(F.lit(1))).na.fill(0)
+    if not pathways:
+        return mapped.groupBy(id_col).pivot("pathway").agg(F.count(F.lit(1))).na.fill(0)
+    # every call counts somewhere: those of other pathways as unmapped
+    wanted = list(dict.fromkeys([*pathways, defaults.UNMAPPED_PATHWAY]))
+    known = F.col("pathway").isin(wanted)
+    placed = mapped.withColumn("pathway", F.when(known, F.col("pathway")).otherwise(F.lit(defaults.UNMAPPED_PATHWAY)))
+    return placed.groupBy(id_col).pivot("pathway", wanted).agg(F.count(F.lit(1))).na.fill(0)

@@ -34,12 +34,11 @@ def table_profile(df: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("v").isNull(), F.col("n")).otherwise(0)).alias("nulls"),
         F.count("v").alias("distinct_values"),
     )
-    kinds = [f.dataType.simpleString() for f in df.schema.fields]
-    label = F.array(*[F.lit(c) for c in names])
-    kind = F.array(*[F.lit(k) for k in kinds])
-    return per_column.select(
-        F.get(label, F.col("i")).alias("column"), F.get(kind, F.col("i")).alias("type"), "rows", "nulls", "distinct_values"
-    )
+    listed = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
+    columns = df.sparkSession.createDataFrame(listed, "i int, column string, type string")
+    # an empty table has columns, too
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("rows", "nulls", "distinct_values")]
+    return columns.join(per_column, "i", "left").select("column", "type", *counts)
 
 
 def _short(column: str) -> Column:

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.runtime import materialize, small_side
+from cohortloom.runtime import materialize
 
 
 def distinct_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -27,7 +27,7 @@ def join_left_lookup(
     df: DataFrame, lookup: DataFrame, key: str, value_col: str, default: str | None = None
 ) -> DataFrame:
     """Add ``value_col`` by key; keys that are not listed get ``default``."""
-    joined = df.join(small_side(lookup.select(key, value_col)), key, "left")
+    joined = df.join(materialize(lookup.select(key, value_col), "lookup"), key, "left")
     if default is None:
         return joined
     return joined.withColumn(value_col, F.coalesce(value_col, F.lit(default)))

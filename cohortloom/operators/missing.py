@@ -41,12 +41,15 @@ def fill_environmental_nearest(
 
     ``ffill`` takes the last reading before the gap. ``nearest`` takes the reading
     nearest in time on either side, the earlier one when both are equally near.
-    ``tie_cols`` make the order within a date definite.
+    ``tie_cols`` make the order within a date definite; the order of the input follows them, so that the rows of one
+    date of one place may lie in several buckets. The input is written once.
     """
     places = [county_col] if isinstance(county_col, str) else list(county_col)
     if method not in ("ffill", "nearest"):
         raise ValueError(f"unknown fill method {method!r}")
-    order = [date_col, *tie_cols]
+    columns = df.columns
+    df = materialize(df.withColumn("__row", F.monotonically_increasing_id()), "readings")
+    order = [date_col, *tie_cols, "__row"]
     ranges = cut_ranges(df, [*places, *order], rows_per_bucket)
     reading = F.when(F.col(value_col).isNotNull(), F.struct(F.col(value_col).alias("v"), F.col(date_col).alias("d")))
     placed = ranges.assign(df).withColumn("__reading", reading)
@@ -83,7 +86,7 @@ def fill_environmental_nearest(
             .when(F.col("__next").isNull() | (gap_back <= gap_on), F.col("__prev"))
             .otherwise(F.col("__next"))
         )
-    return filled.withColumn(value_col, F.coalesce(F.col(value_col), chosen["v"])).select(*df.columns)
+    return filled.withColumn(value_col, F.coalesce(F.col(value_col), chosen["v"])).select(*columns)
 
 
 def _distance(start: Column, end: Column, kind: T.DataType) -> Column:

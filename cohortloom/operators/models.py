@@ -21,14 +21,7 @@ FOREST_MIN_LEAF = 10
 SEED = 42
 TIME_BINS = 20
 FEATURE_BINS = 256
-ROWS_PER_PARTITION = 20_000
-
-
-def _training_rows(df: DataFrame, label: str) -> DataFrame:
-    """Written training rows in no more partitions than they can fill: every tree
-    level is one pass over them."""
-    rows = materialize(df, label)
-    return rows.coalesce(max(1, rows.count() // ROWS_PER_PARTITION))
+FOREST_DEPTH = 30  # the deepest that Spark grows; leaves end a tree long before
 
 
 def _assembled(df: DataFrame, features: Sequence[str], output: str = "__features") -> DataFrame:
@@ -42,7 +35,7 @@ def train_boosted_classifier(
     """Gradient-boosted trees with logistic loss; missing features count as 0."""
     ensure_checkpoint_dir(train.sparkSession)
     chosen = {**BOOSTING, **(params or {})}
-    data = _training_rows(
+    data = materialize(
         _assembled(train, feature_cols).select("__features", F.col(target_col).cast("double").alias("__label")),
         "train",
     )
@@ -138,20 +131,21 @@ def train_survival_forest(
     covariate_cols: Sequence[str],
     n_estimators: int = FOREST_TREES,
     bins: int = TIME_BINS,
+    max_depth: int = FOREST_DEPTH,
 ) -> SurvivalForest:
     """A random forest on the hazard of each time bin.
 
     Unlike a forest that splits on log-rank statistics, it splits on the event label
-    of person-periods; its leaves hold at least ten of them.
+    of person-periods; its leaves hold at least ten of them. Covariates are cut into 32 bins to look for splits.
     """
     ensure_checkpoint_dir(train.sparkSession)
     edges = time_bin_edges(train, duration_col, event_col, bins)
     vectors = _assembled(train.dropna(subset=[duration_col, event_col]), covariate_cols, "__x")
     periods = person_periods(vectors, duration_col, event_col, edges, ["__x"])
-    data = _training_rows(_with_bin(periods).select("__features", "__label"), "periods")
+    data = materialize(_with_bin(periods).select("__features", "__label"), "periods")
     forest = RandomForestClassifier(
         featuresCol="__features", labelCol="__label", seed=SEED,
-        numTrees=n_estimators, minInstancesPerNode=FOREST_MIN_LEAF, cacheNodeIds=True,
+        numTrees=n_estimators, maxDepth=max_depth, minInstancesPerNode=FOREST_MIN_LEAF, cacheNodeIds=True,
         checkpointInterval=10,
     )
     return SurvivalForest(forest.fit(data), tuple(covariate_cols), edges)

@@ -59,10 +59,11 @@ def long_to_vector(
         .select(id_col, F.struct("__i", F.coalesce("__v", F.lit(missing)).alias("__v")).alias("__cell"))
     )
     packed = cells.groupBy(id_col).agg(F.array_sort(F.collect_list("__cell")).alias("__cells"))
-    by_place = F.map_from_entries("__cells")
-    spread = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.coalesce(by_place[i], F.lit(missing)))
+    gaps = F.array_except(F.sequence(F.lit(0), F.lit(n - 1)), F.col("__cells.__i"))
+    empty = F.transform(gaps, lambda i: F.struct(i.alias("__i"), F.lit(missing).cast("double").alias("__v")))
+    filled = F.array_sort(F.concat("__cells", empty))
     # most ids have every attribute: then the sorted cells are the vector
-    slots = F.when(F.size("__cells") == n, F.col("__cells.__v")).otherwise(spread)
+    slots = F.when(F.size("__cells") == n, F.col("__cells.__v")).otherwise(F.transform(filled, lambda c: c["__v"]))
     return packed.select(id_col, array_to_vector(slots).alias(output_col))
 
 

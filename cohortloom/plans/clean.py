@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortloom import defaults
 from cohortloom.functions.columns import cast_columns, fill_categorical_unknown, flag_genomic_not_tested, numeric_columns
@@ -22,8 +23,8 @@ from cohortloom.functions.deident import (
 from cohortloom.operators.missing import fill_environmental_nearest, impute_numeric_stratified
 from cohortloom.operators.outliers import cap_iqr, flag_robust_zscore_outliers
 from cohortloom.operators.reshape import pivot_long_to_wide
-from cohortloom.runtime import materialize, present
-from cohortloom.sources.layers import layer_path, overwrite_table, scan_layer, table_exists
+from cohortloom.runtime import attach, cleans_up, materialize, present
+from cohortloom.sources.layers import SLICE, layer_path, overwrite_table, scan_layer, table_exists
 
 CLINICAL_NUMERIC = ("AGE", "MUTATION_COUNT")
 CLINICAL_CATEGORICAL = ("SEX", "CANCER_TYPE", "AJCC_PATHOLOGIC_TUMOR_STAGE")
@@ -107,6 +108,7 @@ def _bronze(spark: SparkSession, root: str, domain: str, slices: str) -> DataFra
     return scan_layer(spark, path, slices=slices) if table_exists(spark, path) else None
 
 
+@cleans_up
 def clean_clinical(spark: SparkSession, root: str, salt: str, slices: str = "latest", **options) -> str | None:
     raw = _bronze(spark, root, "cbioportal_clinical", slices)
     if raw is None:
@@ -114,6 +116,7 @@ def clean_clinical(spark: SparkSession, root: str, salt: str, slices: str = "lat
     return overwrite_table(clean_clinical_frame(raw, salt, **options), layer_path(root, "silver", "clinical"))
 
 
+@cleans_up
 def clean_mutations(spark: SparkSession, root: str, salt: str, slices: str = "latest", **options) -> str | None:
     raw = _bronze(spark, root, "cbioportal_mutations", slices)
     if raw is None:
@@ -121,6 +124,7 @@ def clean_mutations(spark: SparkSession, root: str, salt: str, slices: str = "la
     return overwrite_table(clean_mutations_frame(raw, salt, **options), layer_path(root, "silver", "mutations"))
 
 
+@cleans_up
 def clean_rna_seq(spark: SparkSession, root: str, salt: str, slices: str = "latest", **options) -> str | None:
     raw = _bronze(spark, root, "gdc_rna_seq_counts", slices)
     if raw is None:
@@ -128,14 +132,33 @@ def clean_rna_seq(spark: SparkSession, root: str, salt: str, slices: str = "late
     return overwrite_table(clean_rna_seq_frame(raw, salt, **options), layer_path(root, "silver", "rna_seq"))
 
 
-def clean_environmental(spark: SparkSession, root: str, slices: str = "latest", **options) -> str | None:
+READING_KEY = ("state_code", "county_code", "site_number", "site_num", "parameter_code", "poc", "sample_duration", "date_local")
+
+
+def newest_readings(raw: DataFrame, key: Sequence[str] = READING_KEY) -> DataFrame:
+    """Of the slices that hold a key, the rows of the newest one.
+
+    Slices look back and so overlap. The key is what the table has of the columns given; all rows that a slice has for
+    one key stay.
+    """
+    keys = present(raw, key)
+    newest = materialize(raw.groupBy(*keys).agg(F.max(SLICE).alias("__newest")), "newest")
+    return attach(raw, newest, keys).filter(F.col(SLICE) == F.col("__newest")).drop("__newest")
+
+
+@cleans_up
+def clean_environmental(spark: SparkSession, root: str, slices: str = "all", **options) -> str | None:
+    """The readings of all slices, each as its newest slice has it."""
     raw = _bronze(spark, root, "environmental_pm25", slices)
     if raw is None:
         return None
+    if slices == "all" and SLICE in raw.columns:
+        raw = newest_readings(raw)
     clean = clean_environmental_frame(raw, **options)
     return overwrite_table(clean, layer_path(root, "silver", "environmental_pm25"))
 
 
+@cleans_up
 def clean_seer(spark: SparkSession, root: str, salt: str, slices: str = "latest", **options) -> str | None:
     raw = _bronze(spark, root, "seer_extract", slices)
     if raw is None:

@@ -4,6 +4,7 @@ and returns the path of the bronze table."""
 from __future__ import annotations
 
 import datetime as dt
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from cohortloom import defaults
 from cohortloom.operators import contracts
 from cohortloom.operators.guards import guard_min_groups, guard_not_empty
+from cohortloom.runtime import cleans_up, folder_entries, materialize
 from cohortloom.sources import delimited, records
 from cohortloom.sources.layers import layer_path, write_bronze_slice
 
@@ -22,25 +24,26 @@ FILE_HIT = (
 )
 
 
+@cleans_up
 def ingest_cbioportal_clinical(
     spark: SparkSession, root: str, sample_path: str, patient_path: str | None,
     ingestion_date: str | None = None, multi_line: bool = True,
 ) -> str:
     df = records.scan_eav_clinical(spark, sample_path, patient_path, multi_line)
-    contracts.validate(df, contracts.CLINICAL)
-    return write_bronze_slice(df, layer_path(root, "bronze", "cbioportal_clinical"), ingestion_date)
+    return _published(df, layer_path(root, "bronze", "cbioportal_clinical"), ingestion_date, contracts.CLINICAL)
 
 
+@cleans_up
 def ingest_cbioportal_mutations(
     spark: SparkSession, root: str, path: str, ingestion_date: str | None = None, multi_line: bool = True
 ) -> str:
+    """All columns of the records are kept."""
     df = records.scan_mutation_records(spark, path, multi_line=multi_line)
-    contracts.validate(df, contracts.MUTATIONS)
-    return write_bronze_slice(df, layer_path(root, "bronze", "cbioportal_mutations"), ingestion_date)
+    return _published(df, layer_path(root, "bronze", "cbioportal_mutations"), ingestion_date, contracts.MUTATIONS)
 
 
 def list_files(
-    hits: DataFrame, project_id: str, category: str, data_format: str | None, limit: int | None = defaults.FILE_LISTING_SIZE
+    hits: DataFrame, project_id: str, category: str, data_format: str | None, limit: int | None = None
 ) -> DataFrame:
     """Chosen files of a landed listing, one row per file and case."""
     chosen = delimited.file_metadata_filter(hits, project_id, category, data_format, size=limit)
@@ -50,74 +53,107 @@ def list_files(
     )
 
 
+@cleans_up
 def ingest_gdc_metadata(
     root: str, hits: DataFrame, project_id: str, category: str, data_format: str | None,
-    ingestion_date: str | None = None,
+    ingestion_date: str | None = None, limit: int | None = None,
 ) -> str:
-    files = list_files(hits, project_id, category, data_format)
-    contracts.validate(files, contracts.FILE_METADATA)
-    return write_bronze_slice(files, layer_path(root, "bronze", "gdc_mutation_file_metadata"), ingestion_date)
+    return _published(
+        list_files(hits, project_id, category, data_format, limit),
+        layer_path(root, "bronze", "gdc_mutation_file_metadata"),
+        ingestion_date,
+        contracts.FILE_METADATA,
+    )
 
 
-def _first_files(files: DataFrame, limit: int | None) -> tuple[DataFrame, list[str] | None]:
-    """The listing cut to ``limit`` entries, and the ids of the files to open."""
-    listing = files.withColumnsRenamed({"cases.case_id": "case_id", "cases.submitter_id": "submitter_id"})
-    if limit is None:
-        return listing, None
-    listing = delimited.limit_files(listing, limit)
-    return listing, sorted({row["file_id"] for row in listing.select("file_id").collect()})  # at most ``limit`` ids
+def _published(
+    df: DataFrame, path: str, ingestion_date: str | None, contract: contracts.Contract | None = None,
+    minimum: tuple[str, int, str] | None = None,
+) -> str:
+    """Write a source once to the shared folder, check what was written, and publish it as a slice.
 
+    The raw files are read once however many checks there are; a failed check leaves the slice as it was.
+    """
+    staged = materialize(df, "staged")
+    if contract is not None:
+        contracts.validate(staged, contract)
+    if minimum is not None:
+        guard_min_groups(staged, *minimum)
+    return write_bronze_slice(staged, path, ingestion_date)
 
-def _paths(folder: str, file_ids: Sequence[str] | None, naming: str) -> str | list[str]:
-    base = folder.rstrip("/")
-    return base if file_ids is None else [f"{base}/{naming.format(file_id=file_id)}" for file_id in file_ids]
 
+def _listed_files(spark: SparkSession, files: DataFrame, limit: int | None, folder: str, naming: str) -> tuple[DataFrame, list[str]]:
+    """The listing, cut to ``limit`` entries if given, and the paths of its files that have landed.
 
+    Listed files that are absent are reported and left out. The driver knows the names in the folder, as it does for
+    any folder that Spark reads, and learns no more ids than that.
+    """
+    listing = files.withColumnsRenamed({"cases.case_id": "case_id", "cases.submitter_id": "submitter_id"})
+    listing = materialize(listing if limit is None else delimited.limit_files(listing, limit), "listing")
+    names = [(n,) for n in sorted(folder_entries(spark, folder))]
+    landed = spark.createDataFrame(names, "__name string")
+    before, after = naming.split("{file_id}")
+    wanted = listing.select("file_id", F.concat(F.lit(before), "file_id", F.lit(after)).alias("__name")).distinct()
+    absent = wanted.join(landed, "__name", "left_anti").count()
+    if absent:
+        warnings.warn(f"{absent} listed files are not in {folder}", stacklevel=3)
+    there = [r["__name"] for r in wanted.join(landed, "__name", "left_semi").select("__name").collect()]
+    return listing, [f"{folder.rstrip('/')}/{n}" for n in sorted(there)]
+
+
+@cleans_up
 def ingest_rna_seq(
     spark: SparkSession, root: str, files: DataFrame, folder: str,
-    limit: int | None = defaults.EXPRESSION_FILE_LIMIT, minimum: int = defaults.MIN_EXPRESSION_FILES,
+    limit: int | None = None, minimum: int = defaults.MIN_EXPRESSION_FILES,
     ingestion_date: str | None = None, schema: str = delimited.COUNT_SCHEMA,
     naming: str = "{file_id}.tsv", file_id: str = delimited.FILE_STEM,
 ) -> str:
-    """Count files named after their id in a folder; ``limit=None`` reads the whole folder.
+    """Count files named after their id in a folder: those that are listed and have landed.
 
-    Only the files of the cut listing are opened.
+    Fewer than ``minimum`` files are an error. ``limit`` cuts the listing, on request only.
     """
-    listing, ids = _first_files(files, limit)
-    counts = delimited.scan_count_tsv(spark, _paths(folder, ids, naming), schema, file_id)
+    listing, paths = _listed_files(spark, files, limit, folder, naming)
+    what = "the expression read"
+    if not paths:
+        raise ValueError(f"{what} has none of the listed files")
+    counts = delimited.scan_count_tsv(spark, paths, schema, file_id)
     tagged = delimited.tag_file_lineage(counts, listing, ["case_id", "submitter_id"])
-    guard_min_groups(tagged, "file_id", minimum, "the expression read")
-    return write_bronze_slice(tagged, layer_path(root, "bronze", "gdc_rna_seq_counts"), ingestion_date)
+    bronze = layer_path(root, "bronze", "gdc_rna_seq_counts")
+    return _published(tagged, bronze, ingestion_date, minimum=("file_id", minimum, what))
 
 
+@cleans_up
 def ingest_methylation(
     spark: SparkSession, root: str, files: DataFrame, folder: str,
-    limit: int | None = defaults.METHYLATION_FILE_LIMIT, ingestion_date: str | None = None,
+    limit: int | None = None, ingestion_date: str | None = None,
     naming: str = "{file_id}.txt", file_id: str = delimited.FILE_STEM,
 ) -> str:
     contracts.validate(files, contracts.FILE_METADATA)
-    listing, ids = _first_files(files, limit)
-    betas = delimited.scan_beta_tsv(spark, _paths(folder, ids, naming), file_id=file_id)
+    listing, paths = _listed_files(spark, files, limit, folder, naming)
+    if not paths:
+        raise ValueError("the methylation read has none of the listed files")
+    betas = delimited.scan_beta_tsv(spark, paths, file_id=file_id)
     tagged = delimited.tag_file_lineage(betas, listing, ["case_id", "submitter_id", "file_name"])
-    return write_bronze_slice(tagged, layer_path(root, "bronze", "gdc_methylation_beta_values"), ingestion_date)
+    return _published(tagged, layer_path(root, "bronze", "gdc_methylation_beta_values"), ingestion_date)
 
 
+@cleans_up
 def ingest_environmental(
     spark: SparkSession, root: str, path: str, end: dt.date, places: DataFrame | None = None,
     days: int = defaults.LOOKBACK_DAYS, ingestion_date: str | None = None,
 ) -> str:
-    payload = records.scan_json_envelope(spark, path, PM25_RECORD)
+    """All columns of the records are kept."""
+    payload = records.scan_json_envelope(spark, path, PM25_RECORD, keep_all=True)
     recent = delimited.date_lookback_range(payload, "date_local", end, days, places)
     # a reading that is no number must not pass as a missing one
     df = recent.withColumn("arithmetic_mean", F.col("arithmetic_mean").cast("double"))
-    contracts.validate(df, contracts.PM25)
-    return write_bronze_slice(df, layer_path(root, "bronze", "environmental_pm25"), ingestion_date)
+    return _published(df, layer_path(root, "bronze", "environmental_pm25"), ingestion_date, contracts.PM25)
 
 
+@cleans_up
 def ingest_seer(
     spark: SparkSession, root: str, path: str, ingestion_date: str | None = None,
     layout: Sequence[tuple[str, int, int]] = tuple(defaults.REGISTRY_LAYOUT), na_values: Sequence[str] = (),
 ) -> str:
     df = delimited.scan_fixed_width(spark, path, layout, na_values)
-    contracts.validate(df, contracts.REGISTRY)
-    return write_bronze_slice(df, layer_path(root, "bronze", "seer_extract"), ingestion_date)
+    return _published(df, layer_path(root, "bronze", "seer_extract"), ingestion_date, contracts.REGISTRY)

@@ -3,22 +3,21 @@ intermediate tables, and joins whose broadcast side has a known size."""
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import tempfile
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 100_000
-BROADCAST_BYTES = 32 * 1024 * 1024
-
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the session's checkpoint folder.
 
-    Only a session that names none (local tests) gets a folder of its own.
+    Only a local session that names none gets a folder of its own. On a cluster such a folder would be one of many, each
+    with a part of the data, so there it is an error.
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
@@ -26,14 +25,45 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     current = sc.getCheckpointDir()
     if not current:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="cohortloom-"))
         current = sc.getCheckpointDir()
     return current.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path in the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new, unused path in the shared folder; removed at the end of an enclosing :func:`scratch_scope`."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+_scopes: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the scratch tables made inside when the block ends, so nothing lazy may leave it."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            remove_path(spark, path)
+
+
+def cleans_up(step: Callable) -> Callable:
+    """For steps that write their result: their scratch tables go when they end. The session is an argument."""
+
+    @functools.wraps(step)
+    def run(*args, **kwargs):
+        spark = next(a for a in [*args, *kwargs.values()] if isinstance(a, (SparkSession, DataFrame)))
+        with scratch_scope(spark if isinstance(spark, SparkSession) else spark.sparkSession):
+            return step(*args, **kwargs)
+
+    return run
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -56,25 +86,6 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame) -> DataFrame:
-    """A lookup marked for broadcast if, and only if, its measured size allows it.
-
-    The size of a computed or driver-made table is unknown to Catalyst, so its rows
-    are measured up to the bound first; a larger table is left to a shuffle join.
-    """
-    measured = (
-        df.limit(BROADCAST_ROWS + 1)
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.sum(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))).alias("bytes"),
-        )
-        .first()
-    )
-    if measured["rows"] <= BROADCAST_ROWS and (measured["bytes"] or 0) <= BROADCAST_BYTES:
-        return F.broadcast(df)
-    return df
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return bool(jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path))

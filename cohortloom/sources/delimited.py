@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,12 +11,14 @@ from pyspark.sql import types as T
 
 from cohortloom import defaults
 from cohortloom.operators.guards import guard_not_empty
-from cohortloom.runtime import small_side
+from cohortloom.runtime import materialize
 
+# what a count file must have; further columns are kept
 COUNT_SCHEMA = (
     "gene_id string, gene_name string, gene_type string, unstranded long, stranded_first long, "
     "stranded_second long, tpm_unstranded double, fpkm_unstranded double"
 )
+MAX_LAYOUTS = 1000
 BETA_SCHEMA = "probe_id string, beta_value double"
 FILE_STEM = r"([^/]+?)(?:\.[^/]*)?$"
 FILE_FOLDER = r"([^/]+)/[^/]+$"
@@ -32,14 +34,41 @@ def scan_count_tsv(
 ) -> DataFrame:
     """Expression count files: comment line, header line, summary rows, gene rows.
 
-    All rows are kept. A header that does not fit the schema fails the read.
+    Every file is read by its own header, so columns may stand in any order. The columns of ``schema`` must be there;
+    what else some file has is kept, measures (``tpm_*``, ``fpkm_*``) as numbers and the rest as text. All rows are
+    kept, and a value that does not fit its type fails the read. Headers are found by a pass of their own over the
+    lines that begin with the schema's first column; only their distinct texts reach the driver.
     """
-    rows = spark.read.csv(
-        path if isinstance(path, str) else list(path),
-        schema=schema, sep="\t", comment="#", header=True, enforceSchema=False, mode="FAILFAST",
-        recursiveFileLookup=True,
+    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    lines = (
+        spark.read.option("recursiveFileLookup", True)
+        .text(path if isinstance(path, str) else list(path))
+        .select("value", F.col("_metadata.file_path").alias("__file"), file_id_of(file_id).alias("file_id"))
     )
-    return rows.select("*", file_id_of(file_id).alias("file_id"))
+    is_header = F.col("value").startswith(f"{wanted.names[0]}\t")
+    headers = materialize(lines.filter(is_header).groupBy("__file").agg(F.first("value").alias("header")), "headers")
+    texts = [r["header"].split("\t") for r in headers.select("header").distinct().limit(MAX_LAYOUTS + 1).collect()]
+    if len(texts) > MAX_LAYOUTS:
+        raise ValueError(f"the count files have more than {MAX_LAYOUTS} layouts")
+    for names in texts:
+        if missing := [n for n in wanted.names if n not in names]:
+            raise ValueError(f"count files lack the columns {missing}")
+    measure = ("tpm_", "fpkm_")
+    more = sorted({n for names in texts for n in names} - set(wanted.names))
+    kinds = [(f.name, f.dataType) for f in wanted]
+    kinds += [(n, T.DoubleType() if n.startswith(measure) else T.StringType()) for n in more]
+    rows = lines.filter((F.trim("value") != "") & ~F.col("value").startswith("#") & ~is_header)
+    if not rows.join(headers, "__file", "left_anti").isEmpty():
+        raise ValueError("count files without the header they must have")
+    held = F.split("value", "\t", -1)
+    names = F.split("header", "\t", -1)
+
+    def field(name: str, kind: T.DataType) -> Column:
+        place = F.array_position(names, name)
+        text = F.get(held, (F.when(place > 0, place) - 1).cast("int"))
+        return F.nullif(F.regexp_replace(text, '^"(.*)"$', "$1"), F.lit("")).cast(kind).alias(name)
+
+    return rows.join(headers, "__file").select(*[field(n, k) for n, k in kinds], "file_id")
 
 
 def scan_beta_tsv(
@@ -61,7 +90,7 @@ def tag_file_lineage(rows: DataFrame, metadata: DataFrame, columns: Sequence[str
     listed are dropped.
     """
     listing = metadata.select(file_id_col, *[c for c in columns if c != file_id_col])
-    return rows.join(small_side(listing), file_id_col, "inner")
+    return rows.join(materialize(listing, "listing"), file_id_col, "inner")
 
 
 def file_metadata_filter(
@@ -70,11 +99,11 @@ def file_metadata_filter(
     data_category: str,
     data_format: str | None = None,
     access: str | None = "open",
-    size: int | None = defaults.FILE_LISTING_SIZE,
+    size: int | None = None,
     extra: Column | None = None,
     file_id_col: str = "file_id",
 ) -> DataFrame:
-    """Files of a project and category; the listing holds at most ``size`` files."""
+    """Files of a project and category; all of them, or the first ``size`` entries."""
     keep = (F.col("project_id") == project_id) & (F.col("data_category") == data_category)
     if data_format:
         keep = keep & F.col("data_format").isin(data_format.upper(), data_format.lower())
@@ -112,16 +141,20 @@ def date_lookback_range(
         inside = (F.col(date_col) >= F.lit(begin)) & (F.col(date_col) < F.lit(after))
     chosen = df.filter(inside)
     return chosen if places is None else chosen.join(
-        small_side(places.select(*place_cols)), list(place_cols), "left_semi"
+        materialize(places.select(*place_cols), "places"), list(place_cols), "left_semi"
     )
 
 
 def fixed_width_columns(
-    layout: Sequence[tuple[str, int, int]], line_col: str = "value", na_values: Sequence[str] = ()
+    layout: Sequence[tuple[str, int, int] | Mapping], line_col: str = "value", na_values: Sequence[str] = ()
 ) -> list[Column]:
-    """Text fields cut from a line by 1-based inclusive positions; blank is null."""
+    """Text fields cut from a line by 1-based inclusive positions; blank is null.
+
+    A field is (name, start, end), or a mapping with these keys as a layout file gives it.
+    """
     fields = []
-    for name, start, end in layout:
+    for entry in layout:
+        name, start, end = (entry[k] for k in ("name", "start", "end")) if isinstance(entry, Mapping) else entry
         text = F.nullif(F.trim(F.substring(line_col, start, end - start + 1), F.lit(" \t")), F.lit(""))
         if na_values:
             text = F.when(~text.isin(list(na_values)), text)
@@ -132,7 +165,7 @@ def fixed_width_columns(
 def scan_fixed_width(
     spark: SparkSession,
     path: str,
-    layout: Sequence[tuple[str, int, int]] = tuple(defaults.REGISTRY_LAYOUT),
+    layout: Sequence[tuple[str, int, int] | Mapping] = tuple(defaults.REGISTRY_LAYOUT),
     na_values: Sequence[str] = (),
 ) -> DataFrame:
     """A fixed-width extract as string columns; blank lines are skipped."""

@@ -40,7 +40,8 @@ def scan_layer(
 
     The slice column stays a string, and choosing a slice prunes partitions.
     """
-    schema = schema or spark.read.parquet(path).schema
+    # a later slice may have columns that an earlier one lacks
+    schema = schema or spark.read.option("mergeSchema", True).parquet(path).schema
     if SLICE in schema.names:
         schema = T.StructType(
             [T.StructField(f.name, T.StringType() if f.name == SLICE else f.dataType, f.nullable) for f in schema]

@@ -23,6 +23,20 @@ def _struct(schema: str | T.StructType) -> T.StructType:
     return schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
 
 
+def found_schema(spark: SparkSession, path: str, required: str | T.StructType, multi_line: bool = True) -> T.StructType:
+    """The required columns as given and every other column of the records, plain values as text.
+
+    Finding them is a pass over the files; give a schema where that is too much.
+    """
+    wanted = _struct(required)
+    seen = spark.read.option("multiLine", multi_line).option("primitivesAsString", True).json(path).schema
+    return _widened(wanted, seen)
+
+
+def _widened(wanted: T.StructType, seen: T.StructType) -> T.StructType:
+    return T.StructType([*wanted.fields, *[f for f in seen.fields if f.name not in wanted.names and f.name != "_corrupt_record"]])
+
+
 def scan_json_records(
     spark: SparkSession, path: str, schema: str | T.StructType, multi_line: bool = True
 ) -> DataFrame:
@@ -36,13 +50,20 @@ def scan_json_records(
     ).select(*wanted.names)
 
 
-def scan_json_envelope(spark: SparkSession, path: str, record_schema: str | T.StructType) -> DataFrame:
+def scan_json_envelope(
+    spark: SparkSession, path: str, record_schema: str | T.StructType, keep_all: bool = False
+) -> DataFrame:
     """Records of payloads shaped ``{"Header": [{"status"}], "Data": [records]}``.
 
-    Any payload whose status is given and is not ``Success`` fails the read, and
+    ``keep_all`` adds whatever else the records hold, as text. Any payload whose status is given and is not ``Success`` fails the read, and
     so does a read without any record.
     """
     record = _struct(record_schema)
+    if keep_all:
+        seen = spark.read.option("multiLine", True).option("primitivesAsString", True).json(path).schema
+        data = seen["Data"].dataType if "Data" in seen.names else None
+        if isinstance(data, T.ArrayType) and isinstance(data.elementType, T.StructType):
+            record = _widened(record, data.elementType)
     envelope = T.StructType(
         [
             T.StructField("Header", T.ArrayType(T.StructType([T.StructField("status", T.StringType())]))),
@@ -86,12 +107,15 @@ def struct_field_or_self(column: str, field: str) -> Column:
 
 
 def scan_mutation_records(
-    spark: SparkSession, path: str, schema: str | T.StructType = MUTATION_SCHEMA, multi_line: bool = True
+    spark: SparkSession, path: str, schema: str | T.StructType | None = None, multi_line: bool = True
 ) -> DataFrame:
     """Mutation calls with the gene given by symbol; no calls at all is an error.
 
+    Without a schema the records keep all their columns.
+
     A ``gene`` object is read as its JSON text, so objects and plain symbols may mix.
     """
+    schema = found_schema(spark, path, MUTATION_SCHEMA, multi_line) if schema is None else schema
     rows = scan_json_records(spark, path, schema, multi_line)
     guard_not_empty(rows, f"mutation records under {path}")
     return rows.withColumn("gene", struct_field_or_self("gene", "hugoGeneSymbol"))

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortloom.operators import contracts
+from cohortloom.runtime import folder_entries
+from cohortloom.sources.layers import SLICE, slice_dates
 
 BATCH = "landing_batch"
 
@@ -25,17 +27,23 @@ def ingest_new_files(
 
     Spark's file source remembers in ``state_path`` which files it has read. Each
     micro-batch owns one folder of the slice and replaces only that, so a batch that
-    is repeated after a failure leaves one copy.
+    is repeated after a failure leaves one copy: it keeps the date it had at first.
     """
 
+    def date_of(batch_id: int) -> str:
+        for day in slice_dates(spark, table_path):
+            if f"{BATCH}={batch_id}" in folder_entries(spark, f"{table_path}/{SLICE}={day}"):
+                return day
+        return ingestion_date
+
     def write(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
         if contract is not None:
             contracts.validate(batch, contract)
         (
-            batch.withColumns({"ingestion_date": F.lit(ingestion_date), BATCH: F.lit(batch_id)})
-            .write.partitionBy("ingestion_date", BATCH)
+            batch.withColumns({SLICE: F.lit(date_of(batch_id)), BATCH: F.lit(batch_id)})
+            .write.partitionBy(SLICE, BATCH)
             .mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .parquet(table_path)

@@ -49,7 +49,8 @@ def ingest_cbioportal_clinical(spark, sf):
 def ingest_cbioportal_mutations(spark, sf):
     root = lake(spark)
     ingest.ingest_cbioportal_mutations(spark, root, scans.landed_mutations(spark, sf), DAY)
-    return bronze(spark, root, "cbioportal_mutations")
+    # the landed files lie in folders named after their page, which Spark reads as a column
+    return bronze(spark, root, "cbioportal_mutations").drop("page")
 
 
 @query(
@@ -71,6 +72,12 @@ def listed(spark, sf):
     return ingest.list_files(frames.file_listing(spark, sf), "TCGA-BRCA", "Transcriptome Profiling", "TSV", limit=None)
 
 
+def with_absent_file(files):
+    """A listing with one more file, which never landed."""
+    more = files.limit(1).withColumn("file_id", F.lit("never-landed"))
+    return files.unionByName(more)
+
+
 TAGGED_SQL = f"""
     with counts as ({frames.COUNT_SQL}), listing as ({frames.LISTING_SQL})
     select counts.*, case_id, submitter_id from counts join listing using (file_id)
@@ -81,7 +88,7 @@ TAGGED_SQL = f"""
 def ingest_rna_seq(spark, sf):
     root = lake(spark)
     ingest.ingest_rna_seq(
-        spark, root, listed(spark, sf), frames.land_count_files(spark, sf), limit=None, ingestion_date=DAY,
+        spark, root, with_absent_file(listed(spark, sf)), frames.land_count_files(spark, sf), ingestion_date=DAY,
         naming=frames.COUNT_FOLDER, file_id=frames.COUNT_FILE_ID,
     )
     return bronze(spark, root, "gdc_rna_seq_counts")
@@ -93,10 +100,9 @@ def ingest_rna_seq(spark, sf):
     with betas as (select 'f' || cast(floor(l_orderkey / {frames.ORDERS_PER_FILE}) as bigint) as file_id,
                           'cg' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey as probe_id,
                           case when l_discount = 0 then null else l_discount end as beta_value from lineitem),
-         listing as ({frames.LISTING_SQL}),
-         cut as (select * from listing order by file_id, case_id limit 5)
+         listing as ({frames.LISTING_SQL})
     select probe_id, beta_value, file_id, case_id, submitter_id, file_name, '{DAY}' as ingestion_date
-    from betas join cut using (file_id)
+    from betas join listing using (file_id)
     """,
 )
 def ingest_methylation(spark, sf):
@@ -119,19 +125,18 @@ def ingest_methylation(spark, sf):
 @query(
     "ingest_environmental",
     f"""
-    select state_code, county_code, date_local, arithmetic_mean, '{DAY}' as ingestion_date
+    select event_id, state_code, county_code, date_local, arithmetic_mean, '{DAY}' as ingestion_date
     from ({frames.READINGS_SQL}) as r
     where date_local between '2024-01-01' and '2024-01-31'
       and (state_code, county_code) in (select ('01', '001') union all select ('08', '008'))
     """,
 )
 def ingest_environmental(spark, sf):
-    records = frames.readings(spark, sf).drop("event_id")
-    path = frames.land_json_pages(frames.as_json(records), "readings", frames.ENVELOPE)
+    path = frames.land_json_pages(frames.as_json(frames.readings(spark, sf)), "readings", frames.ENVELOPE)
     places = spark.createDataFrame([("01", "001"), ("08", "008")], "state_code string, county_code string")
     root = lake(spark)
     ingest.ingest_environmental(spark, root, path, dt.date(2024, 1, 31), places, ingestion_date=DAY)
-    return bronze(spark, root, "environmental_pm25")
+    return bronze(spark, root, "environmental_pm25").withColumn("event_id", F.col("event_id").cast("long"))
 
 
 @query("ingest_seer", _dated(frames.REGISTRY_SQL))
@@ -236,22 +241,35 @@ def clean_rna_seq(spark, sf):
     return _doubles(cleaned, [f"{c}_is_outlier" for c in _NUMERIC])
 
 
+OLD_DAY, NEW_FROM = "2024-01-20", "2024-01-10"
+# a reading is as its newest slice has it
+SLICED_SQL = f"""
+    select event_id, state_code, county_code, date_local,
+           case when date_local < '{NEW_FROM}' then arithmetic_mean * 2 else arithmetic_mean end as arithmetic_mean,
+           case when date_local < '{NEW_FROM}' then '{OLD_DAY}' else '{DAY}' end as ingestion_date
+    from ({frames.READINGS_SQL}) as readings
+"""
 CLEAN_PM25_SQL = f"""
-    select event_id, state_code, county_code, date_local, coalesce(arithmetic_mean,
+    select ingestion_date, event_id, state_code, county_code, date_local, coalesce(arithmetic_mean,
            last_value(arithmetic_mean ignore nulls) over (partition by state_code, county_code order by date_local, event_id
            rows between unbounded preceding and current row)) as arithmetic_mean
-    from ({frames.READINGS_SQL}) as r
+    from ({SLICED_SQL}) as r
 """
 
 
 def cleaned_environmental(spark, sf, root: str) -> str:
-    write_bronze_slice(frames.readings(spark, sf), layer_path(root, "bronze", "environmental_pm25"), DAY)
+    """Two slices that overlap: the older one holds the first twenty days with other values."""
+    readings, path = frames.readings(spark, sf), layer_path(root, "bronze", "environmental_pm25")
+    older = readings.filter(F.col("date_local") <= OLD_DAY)
+    doubled = (F.col("arithmetic_mean").cast("double") * 2).cast("string")
+    write_bronze_slice(older.withColumn("arithmetic_mean", doubled), path, OLD_DAY)
+    write_bronze_slice(readings.filter(F.col("date_local") >= NEW_FROM), path, DAY)
     return clean.clean_environmental(
         spark, root, place_cols=("state_code", "county_code"), tie_cols=("event_id",)
     )
 
 
-@query("clean_environmental", _dated(CLEAN_PM25_SQL))
+@query("clean_environmental", CLEAN_PM25_SQL)
 def clean_environmental(spark, sf):
     return scan_layer(spark, cleaned_environmental(spark, sf, lake(spark)))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cohortloom.operators import cox, genomic, metrics, models
@@ -10,7 +11,6 @@ from cohortloom.plans import training
 from cohortloom.runtime import materialize
 from suite.registry import query, table
 
-ROUNDS = {"n_estimators": 50}  # a level of a tree is one job, whatever the size of the data
 FEATURES = ["n_orders", "mean_price", "n_urgent", "c_acctbal", "c_nationkey"]
 
 
@@ -46,7 +46,7 @@ def reduce_expression_pca(spark, sf):
     wide = embeddings.select(
         F.col("vec_id").alias("patient_key"), *[F.get("embedding", F.lit(i)).alias(g) for i, g in enumerate(genes)]
     )
-    return genomic.reduce_expression_pca(wide, genes, k=5)
+    return genomic.reduce_expression_pca(wide, genes, k=genomic.pca_rank(len(genes), wide.count()))
 
 
 @query(
@@ -75,25 +75,30 @@ def prepare_training_table(spark, sf):
 @query("train_boosted_classifier")
 def train_boosted_classifier(spark, sf):
     train, test = training.sides(split_patients(spark, sf))
-    model = models.train_boosted_classifier(train, FEATURES, params=ROUNDS)
+    model = models.train_boosted_classifier(train, FEATURES)
     return models.score_classifier(model, test, FEATURES).select("c_custkey", "event", "score")
 
 
 @query("feature_importance")
 def feature_importance(spark, sf):
     train, _ = training.sides(split_patients(spark, sf))
-    return models.feature_importance(spark, models.train_boosted_classifier(train, FEATURES, params=ROUNDS), FEATURES)
+    return models.feature_importance(spark, models.train_boosted_classifier(train, FEATURES), FEATURES)
 
 
 @query(
     "sort_importances",
     """
-    select c_mktsegment as feature, round(sum(c_acctbal), 2) as importance from customer group by 1
+    select feature, importance, row_number() over (order by importance desc, feature) as place
+    from (select c_mktsegment as feature, round(sum(c_acctbal), 2) as importance from customer group by 1)
     """,
 )
 def sort_importances(spark, sf):
     weights = table(spark, sf, "customer").groupBy(F.col("c_mktsegment").alias("feature"))
-    return models.sort_importances(weights.agg(F.round(F.sum("c_acctbal"), 2).alias("importance")))
+    ordered = models.sort_importances(weights.agg(F.round(F.sum("c_acctbal"), 2).alias("importance")))
+    # ids follow the order of the rows: the place is where the operator put them
+    return materialize(ordered.coalesce(1), "ordered").select(
+        "*", F.row_number().over(Window.orderBy(F.monotonically_increasing_id())).cast("long").alias("place")
+    )
 
 
 def _scored_documents(spark, sf):
@@ -178,7 +183,7 @@ def train_survival_forest(spark, sf):
 
 @query("classification_run")
 def classification_run(spark, sf):
-    return training.classification_run(split_patients(spark, sf), FEATURES, params=ROUNDS).metrics
+    return training.classification_run(split_patients(spark, sf), FEATURES).metrics
 
 
 @query("survival_run")
