@@ -12,9 +12,10 @@ need one scalar per time, and only p x p sums reach the driver.
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 import numpy as np
 import pandas as pd
@@ -25,6 +26,7 @@ from cohortloom.operators.ordered import Ranges, cut_ranges, running_sums
 from cohortloom.runtime import materialize
 
 PENALIZER = 0.1
+DEATHS_A_BLOCK = 10_000
 SHARES = "c0 double, c1 double, c2 double, e1 double, e2 double, e3 double"
 
 
@@ -39,6 +41,14 @@ class CoxModel:
     objective: float
     steps: int
 
+    def write(self, spark: SparkSession, path: str) -> None:
+        spark.createDataFrame([(json.dumps(asdict(self)),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+    @classmethod
+    def read(cls, spark: SparkSession, path: str) -> CoxModel:
+        stored = json.loads(spark.read.text(path).first()["value"])
+        return cls(**{k: tuple(v) if isinstance(v, list) else v for k, v in stored.items()})
+
     def summary(self, spark: SparkSession) -> DataFrame:
         rows = [
             (c, b, math.exp(b), s) for c, b, s in zip(self.covariates, self.coefficients, self.standard_errors)
@@ -89,11 +99,12 @@ def train_coxph(
     )
     event_sum = design.agg(*[F.sum(F.col("e") * F.col(f"x{i}")).alias(f"x{i}") for i in range(p)]).first()
     event_x = np.array([event_sum[f"x{i}"] for i in range(p)], dtype=float)
-    times = materialize(design.select("t", "back").distinct(), "times")
+    times = materialize(design.groupBy("t", "back").agg(F.sum("e").alias("d")), "times")
+    hot = (times.agg(F.max("d")).first()[0] or 0) > DEATHS_A_BLOCK
     ranges = cut_ranges(times, ["back"]), cut_ranges(times, ["t"])
 
     def evaluate(b: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        loglik, gradient, hessian = _derivatives(design, b, event_x, ranges)
+        loglik, gradient, hessian = _derivatives(design, b, event_x, ranges, hot)
         return (
             loglik / n - penalizer / 2 * float(b @ b),
             gradient / n - penalizer * b,
@@ -121,7 +132,7 @@ def train_coxph(
 
 
 def _derivatives(
-    design: DataFrame, beta: np.ndarray, event_x: np.ndarray, ranges: tuple[Ranges, Ranges]
+    design: DataFrame, beta: np.ndarray, event_x: np.ndarray, ranges: tuple[Ranges, Ranges], hot: bool
 ) -> tuple[float, np.ndarray, np.ndarray]:
     p = len(beta)
     eta: Column = sum((F.lit(float(b)) * F.col(f"x{i}") for i, b in enumerate(beta)), F.lit(0.0))
@@ -137,7 +148,7 @@ def _derivatives(
     if ranges[0].cuts is not None:
         per_time = materialize(per_time, "pertime")
     at_risk = running_sums(per_time, ["back"], risk, ranges=ranges[0])
-    shared = at_risk.withColumn("s", _efron_shares(F.col("cum_r"), F.col("q"), F.col("d"))).select("*", "s.*").drop("s")
+    shared = _with_shares(at_risk, hot)
     if ranges[1].cuts is not None:
         shared = materialize(shared, "shared")
     table = materialize(running_sums(shared, ["t"], ["c1"], ranges=ranges[1]), "timetable")
@@ -162,27 +173,50 @@ def _derivatives(
     return event_eta - sums[-1], event_x - sums[p * p : p * p + p], sums[: p * p].reshape(p, p)
 
 
-def _efron_shares(at_risk: Column, dying: Column, deaths: Column) -> Column:
-    """Sums over the d steps of a tied time, with ``f = l / d`` and
+def _with_shares(at_risk: DataFrame, hot: bool) -> DataFrame:
+    """The times with their Efron sums. The deaths of a time form blocks, and where a time has several (``hot``), they
+    are dealt to the tasks one by one."""
+    share = _efron_shares(F.col("cum_r"), F.col("q"), F.col("d"), F.col("block"))
+    if not hot:
+        one = at_risk.withColumn("block", F.lit(0)).withColumn("s", share)
+        return one.select("*", "s.*").drop("s", "block")
+    at_risk = materialize(at_risk, "atrisk")
+    last = F.floor(F.greatest(F.col("d") - 1, F.lit(0)) / DEATHS_A_BLOCK).cast("int")
+    blocks = at_risk.select("t", "cum_r", "q", "d", F.explode(F.sequence(F.lit(0), last)).alias("block"))
+    names = ["c0", "c1", "c2", "e1", "e2", "e3"]
+    sums = (
+        blocks.repartition("t", "block")
+        .withColumn("s", share)
+        .groupBy("t")
+        .agg(*[F.sum(f"s.{c}").alias(c) for c in names])
+    )
+    return at_risk.join(sums, "t")
+
+
+def _efron_shares(at_risk: Column, dying: Column, deaths: Column, block: Column) -> Column:
+    """Sums over a block of the d steps of a tied time, with ``f = l / d`` and
     ``z = at_risk - f * dying``: log z, 1/z, f/z, 1/z^2, f/z^2, f^2/z^2."""
 
-    def shares(at_risk: pd.Series, dying: pd.Series, deaths: pd.Series) -> pd.DataFrame:
+    def shares(at_risk: pd.Series, dying: pd.Series, deaths: pd.Series, block: pd.Series) -> pd.DataFrame:
         import numpy as np
         import pandas as pd
 
-        out = np.zeros((len(deaths), 6))
-        block = 1_000_000
-        for i, (r, q, d) in enumerate(zip(at_risk.to_numpy(), dying.to_numpy(), deaths.to_numpy())):
-            for start in range(0, int(d), block):
-                f = np.arange(start, min(start + block, int(d))) / d
-                z = r - f * q
-                out[i] += (
-                    np.log(z).sum(), (1 / z).sum(), (f / z).sum(),
-                    (1 / z**2).sum(), (f / z**2).sum(), (f**2 / z**2).sum(),
-                )
+        d = deaths.to_numpy().astype(np.int64)
+        start = block.to_numpy().astype(np.int64) * DEATHS_A_BLOCK
+        size = np.clip(d - start, 0, DEATHS_A_BLOCK)
+        some = np.flatnonzero(size)
+        # the steps of all rows in one run
+        first = np.cumsum(size[some]) - size[some]
+        owner = np.repeat(some, size[some])
+        f = (start[owner] + np.arange(int(size.sum())) - np.repeat(first, size[some])) / d[owner]
+        z = at_risk.to_numpy()[owner] - f * dying.to_numpy()[owner]
+        out = np.zeros((len(d), 6))
+        if len(some):
+            for k, term in enumerate((np.log(z), 1 / z, f / z, 1 / z**2, f / z**2, f**2 / z**2)):
+                out[some, k] = np.add.reduceat(term, first)
         return pd.DataFrame(out, columns=["c0", "c1", "c2", "e1", "e2", "e3"])
 
-    return F.pandas_udf(shares, SHARES)(at_risk, dying, deaths)
+    return F.pandas_udf(shares, SHARES)(at_risk, dying, deaths, block)
 
 
 def _time_sums(p: int):

@@ -77,22 +77,32 @@ class SurvivalForest:
     features: tuple[str, ...]
     edges: tuple[float, ...]
 
+    def write(self, spark: SparkSession, path: str) -> None:
+        self.model.write().overwrite().save(f"{path}/forest")
+        rest = [(list(self.features), list(self.edges))]
+        described = spark.createDataFrame(rest, "features array<string>, edges array<double>")
+        described.coalesce(1).write.mode("overwrite").json(f"{path}/description")
+
+    @classmethod
+    def read(cls, spark: SparkSession, path: str) -> SurvivalForest:
+        rest = spark.read.schema("features array<string>, edges array<double>").json(f"{path}/description").first()
+        return cls(RandomForestClassificationModel.load(f"{path}/forest"), tuple(rest["features"]), tuple(rest["edges"]))
+
     def risk(self, df: DataFrame, output_col: str = "risk") -> DataFrame:
         """Add the summed cumulative hazard: the higher, the earlier the event.
 
-        Rows get a number that is written down before they are expanded over the
-        bins, so the sums come back to exactly the row they were made from.
+        The bins are scored one after the other as columns of the row itself, so no row is expanded or shuffled.
         """
         bins = len(self.edges)
-        rows = materialize(df.withColumn("__row", F.monotonically_increasing_id()), "rows")
-        periods = _assembled(rows, self.features, "__x").select(
-            "__row", "__x", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("__bin")
-        )
-        scored = self.model.transform(_with_bin(periods))
-        hazard = vector_to_array("probability")[1]
-        # a bin's hazard is part of the cumulative hazard of that and all later bins
-        risks = scored.groupBy("__row").agg(F.sum(hazard * (F.lit(bins + 1) - F.col("__bin"))).alias(output_col))
-        return rows.join(risks, "__row").select(*df.columns, output_col)
+        scored = _assembled(df, self.features, "__x").withColumn("__sum", F.lit(0.0))
+        for b in range(1, bins + 1):
+            # a bin's hazard is part of the cumulative hazard of that and all later bins
+            with_bin = self.model.transform(_with_bin(scored.withColumn("__bin", F.lit(b))))
+            hazard = vector_to_array("probability")[1]
+            scored = with_bin.withColumn("__sum", F.col("__sum") + hazard * F.lit(float(bins + 1 - b))).drop(
+                "__bin", "__features", "rawPrediction", "probability", "prediction"
+            )
+        return scored.select(*df.columns, F.col("__sum").alias(output_col))
 
 
 def _with_bin(periods: DataFrame) -> DataFrame:

@@ -152,3 +152,29 @@ def test_training_table(spark):
     assert rows == {"p": (10.0, 1, 0.0, 3.0), "r": (5.0, 0, 2.0, 0.0)}
     with pytest.raises(ValueError):
         training.available_features(df.select("patient_key"))
+
+
+def test_a_hot_time_gives_the_same_fit_in_blocks(spark, monkeypatch):
+    from cohortloom.operators import cox
+
+    rows = [(float(i % 3 + 1), int(i % 5 != 0), float((i * 7919) % 101)) for i in range(600)]
+    df = spark.createDataFrame(rows, "t double, e int, x double")
+    whole = cox.train_coxph(df, "t", "e", ["x"])
+    monkeypatch.setattr(cox, "DEATHS_A_BLOCK", 16)
+    cut = cox.train_coxph(df, "t", "e", ["x"])
+    assert cut.coefficients == pytest.approx(whole.coefficients, rel=1e-9)
+
+
+def test_survival_models_come_back(spark, scratch):
+    from cohortloom.operators import cox, models
+
+    rows = [(float(i % 17 + 1), int(i % 3 == 0), float(i % 11)) for i in range(200)]
+    df = spark.createDataFrame(rows, "t double, e int, x double")
+    fitted = cox.train_coxph(df, "t", "e", ["x"])
+    fitted.write(spark, f"{scratch}/cox")
+    assert cox.CoxModel.read(spark, f"{scratch}/cox") == fitted
+    forest = models.train_survival_forest(df, "t", "e", ["x"], n_estimators=5)
+    forest.write(spark, f"{scratch}/forest")
+    again = models.SurvivalForest.read(spark, f"{scratch}/forest")
+    assert (again.features, again.edges) == (forest.features, forest.edges)
+    assert sorted(map(tuple, again.risk(df).collect())) == sorted(map(tuple, forest.risk(df).collect()))
