@@ -39,14 +39,26 @@ def split_patients(spark, sf):
     return materialize(assign_split(patients(spark, sf), "c_custkey", "event"), "patients")
 
 
-@query("reduce_expression_pca")
+@query(
+    "reduce_expression_pca",
+    """
+    with genes as (select vec_id, unnest(range(64)) as gene, unnest(embedding) as v from embeddings),
+         scales as (select gene, avg(v) as m, stddev_samp(v) as s from genes group by 1)
+    select vec_id as patient_key, round(sum(((v - m) / s) ** 2), 4) as squared_length
+    from genes join scales using (gene) group by 1
+    """,
+)
 def reduce_expression_pca(spark, sf):
+    """All components together keep the length of every standardised row."""
     embeddings = table(spark, sf, "embeddings")
     genes = [f"gene_{i}" for i in range(64)]
     wide = embeddings.select(
-        F.col("vec_id").alias("patient_key"), *[F.get("embedding", F.lit(i)).alias(g) for i, g in enumerate(genes)]
+        F.col("vec_id").alias("patient_key"),
+        *[F.get("embedding", F.lit(i)).cast("double").alias(g) for i, g in enumerate(genes)],
     )
-    return genomic.reduce_expression_pca(wide, genes, k=genomic.pca_rank(len(genes), wide.count()))
+    reduced = genomic.reduce_expression_pca(wide, genes, k=len(genes))
+    squares = sum((F.col(f"expression_pca_{i}") ** 2 for i in range(len(genes))), F.lit(0.0))
+    return reduced.select("patient_key", F.round(squares, 4).alias("squared_length"))
 
 
 @query(
@@ -72,19 +84,6 @@ def prepare_training_table(spark, sf):
     return training.prepare_training_table(raw)
 
 
-@query("train_boosted_classifier")
-def train_boosted_classifier(spark, sf):
-    train, test = training.sides(split_patients(spark, sf))
-    model = models.train_boosted_classifier(train, FEATURES)
-    return models.score_classifier(model, test, FEATURES).select("c_custkey", "event", "score")
-
-
-@query("feature_importance")
-def feature_importance(spark, sf):
-    train, _ = training.sides(split_patients(spark, sf))
-    return models.feature_importance(spark, models.train_boosted_classifier(train, FEATURES), FEATURES)
-
-
 @query(
     "sort_importances",
     """
@@ -161,17 +160,119 @@ def concordance_index(spark, sf):
     return found.withColumn("concordance", F.round("concordance", 9))
 
 
-@query("train_coxph")
+PATIENTS_SQL = """
+    select c_custkey, n_orders, c_acctbal, duration, case when last_status = 'F' then 1 else 0 end as event
+    from customer join (
+        select o_custkey, cast(count(*) as double) as n_orders,
+               cast(date_diff('day', cast(min(o_orderdate) as date), cast(max(o_orderdate) as date)) as double) as duration,
+               first(o_orderstatus order by o_orderdate desc, o_orderkey desc) as last_status
+        from orders group by 1) on o_custkey = c_custkey
+"""
+COX_COVARIATES = ["n_orders", "c_acctbal"]
+NEWTON_STEPS = 8
+
+
+def _cox_sql(select: str) -> str:
+    """Newton steps for two standardised covariates, one chain of tables per step.
+
+    Per event time the risk set is a running sum from the latest time, and its d deaths leave it in shares (Efron).
+    """
+    (x, y), pen = COX_COVARIATES, cox.PENALIZER
+    sums = {"": "1", "1": "z1", "2": "z2", "11": "z1 * z1", "12": "z1 * z2", "22": "z2 * z2"}
+    parts = [
+        f"patients as materialized ({PATIENTS_SQL})",
+        f"scale as (select count(*) as n, avg({x}) as m1, avg({y}) as m2, stddev_samp({x}) as s1, stddev_samp({y}) as s2 from patients)",
+        f"z as materialized (select c_custkey, duration as t, event as e, ({x} - m1) / s1 as z1, ({y} - m2) / s2 as z2 from patients, scale)",
+        "b0 as (select cast(0 as double) as b1, cast(0 as double) as b2, cast(null as double) as v1, cast(null as double) as v2)",
+    ]
+    for k in range(NEWTON_STEPS):
+        per_time = ", ".join(f"sum(w * {v}) as r{c}, sum(e * w * {v}) as q{c}" for c, v in sums.items())
+        cumulated = ", ".join(f"sum(r{c}) over (order by t desc) as c{c}, q{c}" for c in sums)
+        shares = ", ".join(f"c{c} - l / d * q{c} as a{c}" for c in sums)
+        parts += [
+            f"w{k} as materialized (select z.*, exp(b1 * z1 + b2 * z2) as w from z, b{k})",
+            f"t{k} as materialized (select t, sum(e) as d, {per_time} from w{k} group by t)",
+            f"c{k} as materialized (select d, {cumulated} from t{k})",
+            f"a{k} as materialized (select {shares} from (select *, unnest(range(cast(d as bigint))) as l from c{k} where d > 0))",
+            f"""g{k} as materialized (
+                select (e1 - sum(a1 / a)) / n - {pen} * b1 as g1, (e2 - sum(a2 / a)) / n - {pen} * b2 as g2,
+                       sum(a11 / a - a1 / a * a1 / a) / n + {pen} as h11, sum(a12 / a - a1 / a * a2 / a) / n as h12,
+                       sum(a22 / a - a2 / a * a2 / a) / n + {pen} as h22, b1, b2, n
+                from a{k}, b{k}, scale, (select sum(e * z1) as e1, sum(e * z2) as e2 from z) group by b1, b2, n, e1, e2)""",
+            f"""b{k + 1} as materialized (
+                select b1 + (h22 * g1 - h12 * g2) / (h11 * h22 - h12 * h12) as b1,
+                       b2 + (h11 * g2 - h12 * g1) / (h11 * h22 - h12 * h12) as b2,
+                       h22 / (h11 * h22 - h12 * h12) / n as v1, h11 / (h11 * h22 - h12 * h12) / n as v2 from g{k})""",
+        ]
+    return f"with {', '.join(parts)}, fitted as (select * from b{NEWTON_STEPS}) {select}"
+
+
+def fitted_cox(spark, sf):
+    df = patients(spark, sf)
+    return df, cox.train_coxph(df, "duration", "event", COX_COVARIATES)
+
+
+@query(
+    "train_coxph",
+    _cox_sql(
+        f"""
+        select '{COX_COVARIATES[0]}' as covariate, round(b1 / s1, 8) as coef, round(exp(b1 / s1), 8) as hazard_ratio,
+               round(sqrt(v1) / s1, 8) as se from fitted, scale
+        union all
+        select '{COX_COVARIATES[1]}', round(b2 / s2, 8), round(exp(b2 / s2), 8), round(sqrt(v2) / s2, 8) from fitted, scale
+        """
+    ),
+)
 def train_coxph(spark, sf):
-    train, _ = training.sides(split_patients(spark, sf))
-    return cox.train_coxph(train, "duration", "event", FEATURES).summary(spark)
+    df, model = fitted_cox(spark, sf)
+    return model.summary(spark).select("covariate", *[F.round(c, 8).alias(c) for c in ("coef", "hazard_ratio", "se")])
 
 
-@query("partial_hazard")
+@query(
+    "partial_hazard",
+    _cox_sql("select c_custkey, round(exp(b1 * z1 + b2 * z2), 6) as partial_hazard from z, fitted"),
+)
 def partial_hazard(spark, sf):
-    train, test = training.sides(split_patients(spark, sf))
-    model = cox.train_coxph(train, "duration", "event", FEATURES)
-    return cox.partial_hazard(model, test).select("c_custkey", "duration", "event", "partial_hazard")
+    df, model = fitted_cox(spark, sf)
+    return cox.partial_hazard(model, df).select("c_custkey", F.round("partial_hazard", 6).alias("partial_hazard"))
+
+
+# With one two-valued feature every tree has a leaf per value. The first tree is the mean of the labels (-1, 1), each
+# further one adds a share of the mean of 4 y / (1 + exp(2 y F)).
+BOOSTED_SQL = f"""
+    with recursive patients as ({PATIENTS_SQL}),
+    cells as (select n_orders > 10 as many, avg(cast(event as double)) as p from patients group by 1),
+    rounds as (
+        select many, p, 1 as k, 2 * p - 1 as f from cells
+        union all
+        select many, p, k + 1, f + {models.BOOSTING["eta"]} * (4 * p / (1 + exp(2 * f)) - 4 * (1 - p) / (1 + exp(-2 * f)))
+        from rounds where k < {models.BOOSTING["n_estimators"]})
+    select c_custkey, event, round(1 / (1 + exp(-2 * f)), 6) as score
+    from patients join rounds on many = (n_orders > 10) where k = {models.BOOSTING["n_estimators"]}
+"""
+
+
+def binary_patients(spark, sf):
+    """Patients with one feature of two values, and one that tells nothing."""
+    many = F.when(F.col("n_orders") > 10, 1.0).otherwise(0.0)
+    return materialize(patients(spark, sf).select("c_custkey", "event", many.alias("many"), F.lit(1.0).alias("same")), "binary")
+
+
+@query("train_boosted_classifier", BOOSTED_SQL)
+def train_boosted_classifier(spark, sf):
+    df = binary_patients(spark, sf)
+    scored = models.score_classifier(models.train_boosted_classifier(df, ["many"]), df, ["many"])
+    return scored.select("c_custkey", "event", F.round("score", 6).alias("score"))
+
+
+@query(
+    "feature_importance",
+    "select unnest(['many', 'same']) as feature, unnest([cast(1 as double), cast(0 as double)]) as importance",
+)
+def feature_importance(spark, sf):
+    features = ["many", "same"]
+    model = models.train_boosted_classifier(binary_patients(spark, sf), features)
+    return models.feature_importance(spark, model, features)
 
 
 @query("train_survival_forest")

@@ -3,13 +3,15 @@
 import pytest
 
 import __spark_entry__
+from suite.registry import ORACLES, QUERIES
 from tests.oracle import connect, differences
 
 SMALL, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 # the smallest data makes a single count file, fewer than expression data needs
 NEEDS_FILES = {"guard_min_groups", "ingest_rna_seq", "patient_features_tcga"}
-NO_SQL = sorted(set(__spark_entry__.queries()) - set(__spark_entry__.oracle_sql()))
-SLOW = {"train_boosted_classifier", "feature_importance", "classification_run", "survival_run"}
+NO_SQL = sorted(set(QUERIES) - set(ORACLES))
+# 300 rounds or trees, whatever the size of the data
+LEARNING = {"classification_run", "survival_run", "train_survival_forest"}
 
 
 @pytest.fixture(scope="module")
@@ -17,17 +19,21 @@ def databases():
     return {path: connect(path) for path in (SMALL, LARGER)}
 
 
-@pytest.mark.parametrize("name", sorted(__spark_entry__.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_against_sql(spark, databases, name):
     sf_dir = LARGER if name in NEEDS_FILES else SMALL
-    found = __spark_entry__.queries()[name](spark, sf_dir).toPandas()
-    wanted = databases[sf_dir].execute(__spark_entry__.oracle_sql()[name]).df()
+    found = QUERIES[name](spark, sf_dir).toPandas()
+    wanted = databases[sf_dir].execute(ORACLES[name]).df()
     assert differences(found, wanted) is None
 
 
-@pytest.mark.parametrize("name", [n for n in NO_SQL if n not in SLOW])
+@pytest.mark.parametrize("name", NO_SQL)
 def test_gives_rows(spark, name):
-    assert __spark_entry__.queries()[name](spark, LARGER).count() > 0
+    assert QUERIES[name](spark, SMALL if name in LEARNING else LARGER).count() > 0
+
+
+def test_all_are_registered():
+    assert set(QUERIES) <= set(__spark_entry__.queries()) and set(ORACLES) <= set(__spark_entry__.oracle_sql())
 
 
 def test_entry(spark):
