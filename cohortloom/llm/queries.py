@@ -163,11 +163,11 @@ def op1_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.octet_length("payload").cast("long").alias("stored_bytes"),
     )
     records = materialize(records, "records")
-    # a revisit has no payload of its own: its length is that of the record it refers to
-    referred = records.filter("record_type = 'response'").select(
-        F.col("page_id").alias("refers_to"), F.col("stored_bytes").alias("referred_bytes")
+    # a revisit has no payload of its own: its length is that of the record it refers to, which must have its digest
+    referred = records.filter("record_type = 'response' and page_id is not null").select(
+        F.col("page_id").alias("refers_to"), "payload_digest", F.col("stored_bytes").alias("referred_bytes")
     ).distinct()
-    return records.join(referred, "refers_to", "left").select(
+    return records.join(referred, ["refers_to", "payload_digest"], "left").select(
         "page_id",
         F.coalesce("stored_bytes", "referred_bytes").alias("payload_bytes"),
         "payload_digest",

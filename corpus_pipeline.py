@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortloom.llm import decontaminate, fuzzy_lines, jaccard_join, language, packing
-from cohortloom.runtime import materialize
+from cohortloom.runtime import remove_path, scratch_path, scratch_scope
 
 # three stages have no SQL form: trigram posteriors, SimHash groups and token ids
 ORACLE_SQL = None
@@ -65,7 +65,13 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
-    return docs
+    """Apply the stages to the documents. What a stage wrote on the way goes when its table is written, and its table
+    when the next one is."""
+    path = f"{sf_dir}/documents.parquet"
+    for at, (name, stage) in enumerate(STAGES):
+        before, path = path, scratch_path(spark, name)
+        with scratch_scope(spark):
+            stage(spark, spark.read.parquet(before), sf_dir).write.parquet(path)
+        if at:
+            remove_path(spark, before)
+    return spark.read.parquet(path)

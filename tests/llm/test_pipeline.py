@@ -1,3 +1,4 @@
+import os
 import re
 import zlib
 from collections import defaultdict
@@ -10,6 +11,7 @@ import __spark_entry__
 import corpus_pipeline
 from cohortloom.llm import decontaminate, fuzzy_lines
 from cohortloom.llm import queries as Q
+from cohortloom.runtime import shared_dir
 from tests.llm.conftest import DOCS
 from tests.llm.test_groups import Groups, line_documents, lines_left, shingles
 from tests.oracle import connect, differences
@@ -23,6 +25,16 @@ def test_against_sql(spark, name, sf_dir):
     assert differences(Q.QUERIES[name](spark, sf_dir).toPandas(), connect(sf_dir).execute(Q.ORACLES[name]).df()) is None
 
 
+@pytest.mark.parametrize("name", sorted(set(Q.QUERIES) - set(Q.ORACLES)))
+def test_every_row_has_a_result(spark, name):
+    found = Q.QUERIES[name](spark, SMALL)
+    key, table = ("page_id", "pages") if name == "language_of_pages" else ("doc_id", "documents")
+    ids = spark.read.parquet(f"{SMALL}/{table}.parquet").select(key)
+    assert ids.join(found, key, "left_anti").count() == 0
+    if name != "op6_packing":
+        assert found.count() == ids.count()
+
+
 def test_registered():
     names = __spark_entry__.queries()
     assert [n for n in range(1, 11) if sum(q.startswith(f"op{n}_") for q in names) != 1] == []
@@ -85,10 +97,13 @@ def test_run_packs_what_the_stages_leave(spark):
     left = {r.doc_id: r.text for r in docs.collect()}
     plain_ids = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     parts = defaultdict(dict)
+    before = set(os.listdir(shared_dir(spark).removeprefix("file:")))
     for r in corpus_pipeline.run(spark, SMALL).collect():
         assert zlib.crc32(r.ids) == r.ids_crc32
         parts[r.doc_id][r.start] = bytes(r.ids)
     assert set(parts) == set(left) and len(left) > 100
+    shared = shared_dir(spark).removeprefix("file:")
+    assert len(set(os.listdir(shared)) - before) == 1
     for i, pieces in parts.items():
         ids = [*plain_ids.encode(left[i], add_special_tokens=False).ids, 2]
         assert b"".join(pieces[k] for k in sorted(pieces)) == b"".join(x.to_bytes(4, "little") for x in ids)
