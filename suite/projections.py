@@ -6,7 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from cohortloom.functions import columns, deident, encode
-from cohortloom.operators import contracts, linkage
+from cohortloom.operators import contracts, inspect, linkage
 from suite import frames
 from suite.registry import query, table
 
@@ -202,6 +202,26 @@ def validate(spark, sf):
     return contracts.validate(pm25_like(spark, sf), contracts.PM25, raise_on_fail=False)
 
 
+@query(
+    "quarantine",
+    """
+    select case when c_mktsegment <> 'BUILDING' then c_mktsegment end as state_code, cast(c_nationkey as varchar) as county_code,
+           '2024-01-01' as date_local, c_acctbal as arithmetic_mean,
+           not (c_mktsegment = 'BUILDING' or c_acctbal < 0) as passed
+    from customer
+    """,
+)
+def quarantine(spark, sf):
+    good, bad = contracts.quarantine(pm25_like(spark, sf), contracts.PM25)
+    return good.withColumn("passed", F.lit(True)).unionByName(bad.withColumn("passed", F.lit(False)))
+
+
+@query("sample_rows", "select * from region")
+def sample_rows(spark, sf):
+    """The sample's size is its feature; this table has as many rows."""
+    return inspect.sample_rows(table(spark, sf, "region"), 5)
+
+
 # --- de-identification
 
 
