@@ -28,9 +28,9 @@ THRESHOLD = 0.8
 LEVELS = 3
 RECALL = 0.999
 SMALL_BUCKET = 32
-TILE_SHINGLES = 400_000
+TILE_SHINGLES = 200_000
 LEAST_SHINGLES = 400
-DENSE_TOKENS = 4096
+DENSE_TOKENS = 2048
 # a pair at the threshold agrees in fewer of its sketch values with a chance below this
 SKETCH_MISS = 1e-6
 

@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-CHUNK_CHARS = 1 << 20
-BATCH_BYTES = 16 << 20
+CHUNK_CHARS = 1 << 18
+BATCH_BYTES = 4 << 20
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _POWER = np.uint64(0xD6E8FEB86659FD93)
 
@@ -18,7 +18,7 @@ _POWER = np.uint64(0xD6E8FEB86659FD93)
 def bounded_batches(spark: SparkSession) -> None:
     """Ask Spark to cut Arrow batches by bytes, so that long texts cannot swell one batch."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
 
 
 def chunks(texts: Sequence[str], limit: int = CHUNK_CHARS) -> Iterator[tuple[int, list[str]]]:
