@@ -131,7 +131,8 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.join(contents, ["path", "ordinal"]).select("doc_id", "n_tokens", "terminated")
 
 
-# DuckDB has no base-32, so the 20 bytes of the digest are spelled five bits at a time
+# DuckDB has no base-32, so the 20 bytes of the digest are spelled five bits at a time; an id that may be
+# missing is a double, whose nulls read as Spark's do
 _OP1_SQL = r"""
 with plain as (
   select page_id, coalesce(encode(html), ''::blob) as payload from pages
@@ -147,7 +148,7 @@ with plain as (
 )
 select page_id, cast(bytes as bigint) as payload_bytes, payload_digest,
   case when page_id = response then 'response' else 'revisit' end as record_type,
-  case when page_id <> response then response end as refers_to
+  cast(case when page_id <> response then response end as double) as refers_to
 from grouped
 """
 
