@@ -75,24 +75,40 @@ def code_points(texts: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(blob.encode("utf-32-le", "surrogatepass"), "<u4"), np.cumsum(lengths) - lengths
 
 
+_powers: tuple[np.ndarray, np.ndarray] = (np.zeros(0, np.uint64), np.zeros(0, np.uint64))
+
+
+def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd factor and of its inverse, modulo 2^64."""
+    global _powers
+    if len(_powers[0]) < n:
+        size = max(n, CHUNK_CHARS + 1024)
+        inverse = np.uint64(pow(int(_POWER), -1, 1 << 64))
+        _powers = tuple(np.cumprod(np.full(size, x, np.uint64)) for x in (_POWER, inverse))
+    return _powers
+
+
 def word_hashes(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """64-bit hashes of the lower-cased words (runs of letters and digits) of the texts, in order.
 
     Returns the hashes, the words' lengths, and len(texts) + 1 offsets: text i has words offsets[i]:offsets[i + 1].
+    A word's letters are weighted by powers of their place; dividing by the power of its start makes the sum its own.
     """
     points, begins = code_points([t.lower() for t in texts])
     inside = _is_word()[points]
-    edge = np.diff(np.concatenate(([False], inside, [False])).astype(np.int8))
-    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    before = np.append(False, inside[:-1]) if len(inside) else inside
+    starts = np.flatnonzero(inside & ~before)
     offsets = np.append(np.searchsorted(starts, begins), len(starts))
-    lengths = ends - starts
     if not len(starts):
-        return np.zeros(0, np.uint64), lengths, offsets
-    first = np.cumsum(lengths) - lengths
-    letters = (points[inside].astype(np.uint64) + np.uint64(1)) * _MULT
-    power = np.cumprod(np.full(int(lengths.max()), _POWER, np.uint64))
-    place = np.arange(len(letters)) - np.repeat(first, lengths)
-    return mixed(np.add.reduceat(letters * power[place], first)), lengths, offsets
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), offsets
+    # every text ends with a feed, so every word ends before the last character
+    lengths = np.flatnonzero(before & ~inside) - starts
+    power, inverse = _powers_to(len(points))
+    letters = points.astype(np.uint64)
+    letters += np.uint64(1)
+    letters *= power[: len(points)]
+    letters *= inside
+    return mixed(np.add.reduceat(letters, starts) * inverse[starts]), lengths, offsets
 
 
 def shingle_hashes(words: np.ndarray, offsets: np.ndarray, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
