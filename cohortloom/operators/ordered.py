@@ -21,6 +21,7 @@ from cohortloom.runtime import attach, materialize
 
 ROWS_PER_BUCKET = 50_000
 MAX_BUCKETS = 65_536
+DRAWS = 32
 BUCKET = "__bucket"
 
 
@@ -57,14 +58,17 @@ def _key(keys: Sequence[str]) -> Column:
 def cut_ranges(df: DataFrame, keys: Sequence[str], rows_per_bucket: int | None = None) -> Ranges:
     """Sample cut points so that a bucket holds about ``rows_per_bucket`` rows.
 
-    Which rows are sampled changes only how even the buckets are, never a result.
+    More keys than needed are sampled and every ``DRAWS``-th of them cuts: single draws would leave gaps of many times
+    the wanted size. Which rows are sampled changes only how even the buckets are, never a result.
     """
     rows = df.count()
     buckets = min(MAX_BUCKETS, -(-rows // (rows_per_bucket or ROWS_PER_BUCKET)))
     if buckets <= 1:
         return Ranges(tuple(keys), 0, None)
-    picked = df.select(_key(keys).alias("k")).sample(fraction=min(1.0, buckets / rows), seed=17)
-    cuts = materialize(picked.agg(F.array_sort(F.collect_set("k")).alias("cuts")), "cuts")
+    picked = df.select(_key(keys).alias("k")).sample(fraction=min(1.0, DRAWS * buckets / rows), seed=17)
+    step = max(1, round(DRAWS * min(1.0, rows / (DRAWS * buckets))))
+    every = F.filter(F.array_sort(F.collect_list("k")), lambda _, i: i % step == step - 1)
+    cuts = materialize(picked.agg(F.array_distinct(every).alias("cuts")), "cuts")
     return Ranges(tuple(keys), cuts.select(F.size("cuts")).first()[0], cuts)
 
 
