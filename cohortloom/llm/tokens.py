@@ -13,7 +13,7 @@ from array import array  # noqa: E402
 from tokenizers import Tokenizer  # noqa: E402
 from tokenizers.pre_tokenizers import ByteLevel  # noqa: E402
 
-REMEMBERED = 150_000
+REMEMBERED = 250_000
 # texts whose pieces the pattern below finds as the tokenizer's own splitter does: Latin letters, common punctuation
 _PLAIN = re.compile(r"[^\t\n\r\x20-\x7e\xa0-įı-ſ‐-‧€]")
 _NUMERIC = "0-9²³¹¼-¾"
