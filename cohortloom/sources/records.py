@@ -29,7 +29,9 @@ def found_schema(spark: SparkSession, path: str, required: str | T.StructType, m
     Finding them is a pass over the files; give a schema where that is too much.
     """
     wanted = _struct(required)
-    seen = spark.read.option("multiLine", multi_line).option("primitivesAsString", True).json(path).schema
+    # names of folders are no columns of the records
+    found = spark.read.option("recursiveFileLookup", True).option("primitivesAsString", True)
+    seen = found.option("multiLine", multi_line).json(path).schema
     return _widened(wanted, seen)
 
 
