@@ -259,6 +259,58 @@ def test_fuzzy_lines(spark):
     assert fuzzy_lines.drop_repeated_lines(df.filter("false")).count() == 0
 
 
+def test_fuzzy_lines_by_edit_similarity_alone(spark, monkeypatch):
+    """test_fuzzy_lines, whose plain version asks for three equal bits of SimHash besides, without that condition."""
+    plain = lines_left
+
+    def alone(rows):
+        with monkeypatch.context() as m:
+            m.setattr(fuzzy_lines, "simhashes", lambda words, offsets: np.zeros(len(offsets) - 1, np.uint64))
+            return plain(rows)
+
+    monkeypatch.setitem(globals(), "lines_left", alone)
+    test_fuzzy_lines(spark)
+
+
+@pytest.mark.parametrize("edits", ["word", "letters"])
+def test_fuzzy_lines_recall_by_length(spark, edits):
+    """Pairs that edit similarity alone calls similar, whatever their length, are found."""
+    random.seed(12)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    made, wanted = [], defaultdict(int)
+    while len(made) < 2 * 350:
+        n = (2, 4, 8, 15, 27, 60, 120)[len(made) // 100]
+        words = ["".join(random.choices(letters, k=random.randint(4, 9))) for _ in range(n)]
+        other = list(words)
+        if edits == "word":
+            other[random.randrange(n)] = random.choice(VOCABULARY)
+        else:
+            for _ in range(1 + n // 15):
+                at = random.randrange(n)
+                other[at] = other[at] + random.choice(letters) if random.random() < 0.5 else other[at][1:]
+        a, b = " ".join(words), " ".join(other)
+        if n <= 4 and edits == "word":
+            b = a[:-1] + ("x" if a[-1] != "x" else "y")
+        if a != b and len(a) >= 10 and fuzzy_lines.similar(a, b, 0.9):
+            made += [(len(made), a, n), (len(made) + 1, b, n)]
+            wanted[n] += 1
+    df = spark.createDataFrame(made, "doc_id long, text string, n int")
+    removed = fuzzy_lines.drop_repeated_lines(df, block_rows=64).filter("n_removed = 1").groupBy("n").count().collect()
+    found = {r["n"]: r["count"] for r in removed}
+    assert len(wanted) == 7
+    assert all(found.get(n, 0) >= 0.98 * wanted[n] for n in wanted), found
+
+
+def test_long_texts_have_the_same_simhash_rule():
+    random_ = np.random.default_rng(3)
+    counts = [0, 1, 255, 256, 700, 3]
+    words = random_.integers(0, 2**63, sum(counts)).astype(np.uint64)
+    offsets = np.append(0, np.cumsum(counts))
+    for i, code in enumerate(fuzzy_lines.simhashes(words, offsets)):
+        own = [int(x) for x in words[offsets[i] : offsets[i + 1]]]
+        assert int(code) == sum(1 << k for k in range(64) if 2 * sum(x >> k & 1 for x in own) > len(own))
+
+
 def test_vectors(spark):
     random_ = np.random.default_rng(4)
     base = random_.normal(size=(500, 16))
