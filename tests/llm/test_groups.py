@@ -301,6 +301,16 @@ def test_fuzzy_lines_recall_by_length(spark, edits):
     assert all(found.get(n, 0) >= 0.98 * wanted[n] for n in wanted), found
 
 
+def test_short_lines_repeat_like_others(spark):
+    own = [f"a line that only document {w} has, {w * 3}" for w in VOCABULARY[:6]]
+    rows = [(i, f"{x}\nOK\n--\n{i}\nok!") for i, x in enumerate(own)] + [(9, f"{own[2]}\nOK\n--\n2\nok!"), (10, "日")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in fuzzy_lines.drop_repeated_lines(df).collect()}
+    want = {i: f"{x}\n--\n{i}" for i, x in enumerate(own)} | {9: "--", 10: "日"}
+    want[0] = f"{own[0]}\nOK\n--\n0"
+    assert got == want
+
+
 def test_long_texts_have_the_same_simhash_rule():
     random_ = np.random.default_rng(3)
     counts = [0, 1, 255, 256, 700, 3]

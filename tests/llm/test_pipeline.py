@@ -90,6 +90,12 @@ def test_stages_against_plain_versions(spark, tmp_path):
     assert got.columns == docs.columns and plain(got) == clean and 70 not in {i for i, _ in clean}
 
 
+def test_exact_copies_with_a_short_line_leave_with_their_lines(spark, tmp_path):
+    text = "a first line of several words\nThe end"
+    docs = spark.createDataFrame([(1, text, "en", "s", len(text)), (2, text, "en", "s", len(text))], DOCS)
+    assert plain(corpus_pipeline.drop_lines(spark, docs, str(tmp_path))) == [(1, text)]
+
+
 def test_run_packs_what_the_stages_leave(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
