@@ -21,7 +21,6 @@ from cohortloom.llm.text import bounded_batches, chunks, code_points, mixed, str
 from cohortloom.runtime import materialize
 
 BUCKETS = 1 << 15
-MAX_LANGUAGES = 256
 MIN_TRIGRAMS = 10_000
 SMOOTHING = 0.1
 # neighbouring trigrams share letters, so a letter counts once
@@ -112,31 +111,57 @@ def _count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             )
 
 
-def fit_text_model(labeled: DataFrame, max_languages: int, min_trigrams: int) -> tuple[list[str], np.ndarray]:
-    """Languages, in order, and log probabilities of the trigram buckets under each; the last row is for none of them.
+class TextModel:
+    """Log probabilities of the trigram buckets under each language, and under none of them at last.
 
-    All labeled rows count. What reaches the driver are at most ``max_languages`` x 32,768 sums.
+    Only counted buckets are held per language, so that languages with little text cost little. A language with fewer
+    than ``min_trigrams`` trigrams has half of its smoothing drawn from the counts of all languages.
     """
-    counted = materialize(
+
+    def __init__(self, counts: dict[str, tuple[np.ndarray, np.ndarray]], min_trigrams: int):
+        self.languages = sorted(counts)
+        sizes = {name: int(n.sum()) for name, (_, n) in counts.items()}
+        self.sparse = [name for name in self.languages if sizes[name] < min_trigrams]
+        pool = np.zeros(BUCKETS)
+        for at, n in counts.values():
+            pool[at] += n
+        flat = np.full(BUCKETS, SMOOTHING)
+        shrunk = (flat + SMOOTHING * BUCKETS * pool / max(1.0, pool.sum())) / 2
+        # 0 for languages with enough text, 1 for those without
+        self.bases = np.log(np.stack([flat, shrunk]))
+        self.rows = []
+        for name in self.languages:
+            (at, n), kind = counts[name], int(sizes[name] < min_trigrams)
+            total = math.log(sizes[name] + SMOOTHING * BUCKETS)
+            self.rows.append((kind, total, at.astype(np.int32), (np.log((shrunk if kind else flat)[at] + n) - total).astype(np.float32)))
+
+    def __len__(self) -> int:
+        return len(self.rows) + 1
+
+    def __iter__(self) -> Iterator[np.ndarray]:
+        for kind, total, at, values in self.rows:
+            row = (self.bases[kind] - total).astype(np.float32)
+            row[at] = values
+            yield row
+        yield np.full(BUCKETS, -math.log(BUCKETS), np.float32)
+
+
+def fit_text_model(labeled: DataFrame, min_trigrams: int) -> TextModel:
+    """The model of all declared languages that have a trigram of text.
+
+    All labeled rows count. What reaches the driver are at most 32,768 sums a language.
+    """
+    counted = (
         labeled.mapInArrow(_count_trigrams, "label string, bucket long, n long")
         .groupBy("label", "bucket")
-        .agg(F.sum("n").alias("n")),
-        "trigrams",
+        .agg(F.sum("n").alias("n"))
+        .toPandas()
     )
-    sums = counted.groupBy("label").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_trigrams)
-    largest = sums.orderBy(F.desc("n"), "label").limit(max_languages).select("label").collect()
-    languages = sorted(r[0] for r in largest)
-    logs = np.full((len(languages) + 1, BUCKETS), -math.log(BUCKETS))
-    if languages:
-        chosen = counted.filter(F.col("label").isin(languages)).toPandas()
-        table = np.full((len(languages), BUCKETS), SMOOTHING)
-        at = {name: i for i, name in enumerate(languages)}
-        table[chosen["label"].map(at).to_numpy(), chosen["bucket"].to_numpy()] += chosen["n"].to_numpy()
-        logs[:-1] = np.log(table) - np.log(table.sum(axis=1, keepdims=True))
-    return languages, logs.astype(np.float32)
-
-
-def _likelihoods(df: DataFrame, carried: Sequence[str], logs: np.ndarray) -> DataFrame:
+    counts = {name: (c["bucket"].to_numpy(), c["n"].to_numpy()) for name, c in counted.groupby("label")}
+    return TextModel(counts, min_trigrams)
+
+
+def _likelihoods(df: DataFrame, carried: Sequence[str], logs: TextModel) -> DataFrame:
     """The carried columns and ``__ll``, the tempered log likelihoods; null for a text without letters."""
     shared = df.sparkSession.sparkContext.broadcast(logs)
     kinds = df.select(*carried).schema.fields
@@ -171,8 +196,10 @@ def _posterior(scores: Column) -> Column:
 
 def _tally(rows: DataFrame, by: str, n: int) -> DataFrame:
     """Per value of ``by`` how many confident rows each language has: (``by``, ``counts``)."""
-    sums = [F.sum(F.when(F.col("__lang") == i, 1).otherwise(0)).cast("double") for i in range(n)]
-    return materialize(rows.filter(F.col(by).isNotNull()).groupBy(by).agg(F.array(*sums).alias("counts")), "tally")
+    each = rows.filter(F.col(by).isNotNull()).groupBy(by, "__lang").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    found = each.groupBy(by).agg(F.map_from_entries(F.collect_list(F.struct("__lang", "n"))).alias("found"))
+    counts = F.transform(F.array(*[F.lit(i) for i in range(n)]), lambda i: F.coalesce(F.try_element_at("found", i), F.lit(0.0)))
+    return materialize(found.select(by, counts.alias("counts")), "tally")
 
 
 def _given_language(tally: DataFrame, by: str, name: str, totals: list[float]) -> DataFrame:
@@ -216,15 +243,15 @@ def identify_languages(
     host: Column,
     carry: Sequence[str] | None = None,
     min_confidence: float = MIN_CONFIDENCE,
-    max_languages: int = MAX_LANGUAGES,
     min_trigrams: int = MIN_TRIGRAMS,
 ) -> DataFrame:
     """The carried columns (all by default) with ``language``, ``confidence`` and ``accepted``.
 
     ``text``, ``declared`` (a language tag) and ``host`` are expressions over ``df``; a null one is no evidence. The
-    languages are the declared ones with at least ``min_trigrams`` trigrams of text, the ``max_languages`` largest if
-    there are more. ``und`` stands for none of them: for texts that a uniform model explains better than any language,
-    and, with confidence 0, for texts without letters, null and empty ones included. A row is accepted if its language
+    languages are all declared ones that have a trigram of text. One with fewer than ``min_trigrams`` has too little text
+    to be refuted by: a row with letters that declares it is accepted, and keeps it as its language unless one with enough
+    text has a posterior of at least 0.9. ``und`` stands for none of them: for texts that a uniform model explains better than any language,
+    and, with confidence 0, for texts without letters, null and empty ones included. Any other row is accepted if its language
     is not ``und`` and its posterior is at least ``min_confidence``. Ties go to the first language by name.
 
     Repeated rows are judged alike. An empty table gives no rows; a table that declares no language accepts none.
@@ -240,9 +267,8 @@ def identify_languages(
         F.lower(host.cast("string")).alias("__host"),
     )
     kept = [f"__c{i}" for i in range(len(carried))]
-    languages, logs = fit_text_model(
-        ready.filter("__declared is not null").select("__declared", "__text"), max_languages, min_trigrams
-    )
+    logs = fit_text_model(ready.filter("__declared is not null").select("__declared", "__text"), min_trigrams)
+    languages = logs.languages
     n = len(languages) + 1
     evidence = ["__declared", "__host"]
     scored = materialize(_likelihoods(ready.select("__text", *evidence), evidence, logs).filter("__ll is not null"), "scored")
@@ -277,9 +303,19 @@ def identify_languages(
     final = final.withColumn("__post", _posterior(fused)).withColumn("confidence", F.array_max("__post"))
     names = F.array(*[F.lit(x) for x in [*languages, UNKNOWN]])
     found = F.element_at(names, F.array_position("__post", F.col("confidence")).cast("int"))
+    # a declared language with little text is kept unless one with enough text is sure
+    few, at = F.lit(False), F.lit(None).cast("int")
+    if logs.sparse:
+        said = F.col("__declared").isin(logs.sparse)
+        few = F.coalesce(said & F.col("confidence").isNotNull(), F.lit(False))
+        sure = (F.col("confidence") >= CONFIDENT) & (found != UNKNOWN) & ~found.isin(logs.sparse)
+        at = F.when(few & ~sure, F.array_position(names, F.col("__declared")).cast("int"))
+    believed = F.get(F.col("__post"), at - 1)
+    language = F.coalesce(F.when(at.isNotNull(), F.col("__declared")), found)
+    confidence = F.coalesce(believed, F.col("confidence"), F.lit(0.0))
     return final.select(
         *[F.col(k).alias(c) for k, c in zip(kept, carried)],
-        F.coalesce(found, F.lit(UNKNOWN)).alias("language"),
-        F.coalesce("confidence", F.lit(0.0)).alias("confidence"),
-        F.coalesce((found != UNKNOWN) & (F.col("confidence") >= min_confidence), F.lit(False)).alias("accepted"),
+        F.coalesce(language, F.lit(UNKNOWN)).alias("language"),
+        confidence.alias("confidence"),
+        (few | F.coalesce((found != UNKNOWN) & (F.col("confidence") >= min_confidence), F.lit(False))).alias("accepted"),
     )

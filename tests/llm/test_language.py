@@ -156,6 +156,20 @@ def test_nothing_to_learn_from(spark):
     assert undeclared.filter("accepted").count() == 0 and undeclared.columns == ["doc_id", "text", "lang", "source", "true", "language", "confidence", "accepted"]
 
 
+def test_languages_with_little_text(spark):
+    """Far below 10,000 trigrams, with the defaults."""
+    data = [(i, " ".join(WORDS[k]), k) for i, k in enumerate(WORDS)]
+    data += [(10, "ქართული ენა და ანბანი", "ka"), (11, " ".join(WORDS["de"][3:12]), None), (12, "12 !!", "ka"), (13, "ʘʘʘ ꙮꙮꙮ", None)]
+    data += [(100 + i, f"{'abcdefghij'[i % 10] * 3}{chr(0x4E00 + i) * 4} words", f"{chr(97 + i // 26)}{chr(97 + i % 26)}x") for i in range(12)]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in L.identify_languages(df, F.col("text"), F.col("lang"), F.lit(None)).collect()}
+    assert len(got) == len(data)
+    for doc, _, declared in data:
+        if declared is not None and doc != 12:
+            assert got[doc].language == declared and got[doc].accepted, doc
+    assert got[11].language == "de" and not got[12].accepted and got[12].language == "und" and not got[13].accepted
+
+
 def test_held_out_accuracy(spark):
     """Documents whose declaration is withheld are told from the rest."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
