@@ -197,9 +197,7 @@ def line_documents():
 
 
 def lines_left(rows, similarity=0.9):
-    """Every row's text as a brute-force comparison of all distinct lines leaves it."""
-    from cohortloom.llm.text import word_hashes
-
+    """Every row's text as a brute-force comparison of all distinct lines by edit similarity leaves it."""
     occurrences = defaultdict(list)
     order = {}
     documents_ = sorted({(doc is None, doc, text or "") for doc, text in rows}, key=lambda d: (d[0], d[1] or 0, d[2]))
@@ -210,11 +208,9 @@ def lines_left(rows, similarity=0.9):
             if len(normal) >= fuzzy_lines.MIN_CHARS:
                 occurrences[normal].append((d, n))
     lines = list(occurrences)
-    hashes, _, offsets = word_hashes(lines)
-    codes = [int(x) for x in fuzzy_lines.simhashes(hashes, offsets)]
     groups = Groups(range(len(lines)))
     for i, j in itertools.combinations(range(len(lines)), 2):
-        if (codes[i] ^ codes[j]).bit_count() <= 3 and fuzzy_lines.similar(lines[i], lines[j], similarity):
+        if fuzzy_lines.similar(lines[i], lines[j], similarity):
             groups.join(i, j)
     members = defaultdict(list)
     for i in range(len(lines)):
@@ -259,19 +255,6 @@ def test_fuzzy_lines(spark):
     assert fuzzy_lines.drop_repeated_lines(df.filter("false")).count() == 0
 
 
-def test_fuzzy_lines_by_edit_similarity_alone(spark, monkeypatch):
-    """test_fuzzy_lines, whose plain version asks for three equal bits of SimHash besides, without that condition."""
-    plain = lines_left
-
-    def alone(rows):
-        with monkeypatch.context() as m:
-            m.setattr(fuzzy_lines, "simhashes", lambda words, offsets: np.zeros(len(offsets) - 1, np.uint64))
-            return plain(rows)
-
-    monkeypatch.setitem(globals(), "lines_left", alone)
-    test_fuzzy_lines(spark)
-
-
 @pytest.mark.parametrize("edits", ["word", "letters"])
 def test_fuzzy_lines_recall_by_length(spark, edits):
     """Pairs that edit similarity alone calls similar, whatever their length, are found."""
