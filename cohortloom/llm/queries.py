@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import decontaminate, fuzzy_lines, jaccard_join, language, packing, pii, secret_scan, token_files, vectors, warc
+from cohortloom.llm import decontaminate, fuzzy_lines, jaccard_join, language, packing, pii, secret_scan, token_files, vectors, warc, whitening
 from cohortloom.runtime import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -243,3 +243,9 @@ def language_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         carry=["page_id"],
     )
     return found.withColumn("confidence", F.round("confidence", 6))
+
+
+@_query("op11_whitening")
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whiten(_table(spark, sf_dir, "embeddings"))
+    return rows.withColumn("deviation", F.expr("try_cast(deviation as long)"))
