@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import decontaminate, fuzzy_lines, jaccard_join, language, packing, pii, secret_scan, token_files, vectors, warc, whitening
+from cohortloom.llm import decontaminate, fuzzy_lines, jaccard_join, language, packing, pii, secret_scan, substrings, token_files, vectors, warc, whitening
 from cohortloom.runtime import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -249,3 +249,35 @@ def language_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = whitening.whiten(_table(spark, sf_dir, "embeddings"))
     return rows.withColumn("deviation", F.expr("try_cast(deviation as long)"))
+
+
+# the least id of every window of 13 words, and the words that a window with a smaller one covers
+_OP12_SQL = r"""
+with listed as (
+  select row_number() over () as row_id, doc_id,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents
+), windows as (
+  select row_id, doc_id, k, array_to_string(words[k:k + 12], ' ') as win
+  from (select row_id, doc_id, words, unnest(range(1, len(words) - 11)) as k from listed)
+), least as (
+  select win, min(doc_id) as least from windows group by win
+), covered as (
+  select row_id, list(distinct p) as gone from (
+    select w.row_id, unnest(range(k, k + 13)) as p from windows w join least l using (win) where l.least < w.doc_id)
+  group by row_id
+), left_over as (
+  select l.doc_id, len(l.words) as n_words, coalesce(len(c.gone), 0) as n_removed,
+    case when c.gone is null then l.words
+      else list_transform(list_filter(range(1, len(l.words) + 1), lambda p: not list_contains(c.gone, p)),
+        lambda p: l.words[p]) end as kept
+  from listed l left join covered c using (row_id)
+)
+select doc_id, cast(n_words as bigint) as n_words, cast(n_removed as bigint) as n_removed,
+  sha256(coalesce(array_to_string(kept, ' '), '')) as kept_sha256 from left_over
+"""
+
+
+@_query("op12_substring_dedup", _OP12_SQL)
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.drop_repeated_passages(_table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
