@@ -1,161 +1,33 @@
-"""Boosted trees for the binary outcome and a discrete-time survival forest."""
+"""What the runs ask of their models: training, scores, importances."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, RandomForestClassificationModel
-from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.runtime import ensure_checkpoint_dir, materialize
+from cohortloom.operators.boosting import BOOSTING, BoostedTrees, train_boosted_classifier
+from cohortloom.operators.survival_forest import FOREST_MIN_LEAF, FOREST_TREES, SEED, SurvivalForest, train_survival_forest
 
-# Boosting and forest parameters.
-BOOSTING = {"max_depth": 5, "eta": 0.05, "n_estimators": 300}
-FOREST_TREES = 300
-FOREST_MIN_LEAF = 10
-SEED = 42
-TIME_BINS = 20
-FEATURE_BINS = 256
-FOREST_DEPTH = 30  # the deepest that Spark grows; leaves end a tree long before
-
-
-def _assembled(df: DataFrame, features: Sequence[str], output: str = "__features") -> DataFrame:
-    numeric = df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features})
-    return VectorAssembler(inputCols=list(features), outputCol=output).transform(numeric)
-
-
-def train_boosted_classifier(
-    train: DataFrame, feature_cols: Sequence[str], target_col: str = "event", params: dict | None = None
-) -> GBTClassificationModel:
-    """Gradient-boosted trees with logistic loss; missing features count as 0."""
-    ensure_checkpoint_dir(train.sparkSession)
-    chosen = {**BOOSTING, **(params or {})}
-    data = materialize(
-        _assembled(train, feature_cols).select("__features", F.col(target_col).cast("double").alias("__label")),
-        "train",
-    )
-    trees = GBTClassifier(
-        featuresCol="__features", labelCol="__label", seed=SEED,
-        maxDepth=chosen["max_depth"], stepSize=chosen["eta"], maxIter=chosen["n_estimators"],
-        maxBins=FEATURE_BINS, checkpointInterval=10,
-    )
-    return trees.fit(data)
+__all__ = [
+    "BOOSTING", "BoostedTrees", "FOREST_MIN_LEAF", "FOREST_TREES", "SEED", "SurvivalForest", "feature_importance",
+    "score_classifier", "sort_importances", "train_boosted_classifier", "train_survival_forest",
+]
 
 
 def score_classifier(
-    model: GBTClassificationModel, df: DataFrame, feature_cols: Sequence[str], output_col: str = "score"
+    model: BoostedTrees, df: DataFrame, feature_cols: Sequence[str] | None = None, output_col: str = "score"
 ) -> DataFrame:
     """Add the probability of the outcome."""
-    scored = model.transform(_assembled(df, feature_cols))
-    return scored.withColumn(output_col, vector_to_array("probability")[1]).select(*df.columns, output_col)
+    return df.withColumn(output_col, model.probability(feature_cols))
 
 
-def feature_importance(
-    spark: SparkSession, model: GBTClassificationModel | RandomForestClassificationModel, feature_cols: Sequence[str]
-) -> DataFrame:
-    """(feature, importance), one row per feature."""
-    weights = model.featureImportances.toArray()
-    return spark.createDataFrame(
-        [(c, float(w)) for c, w in zip(feature_cols, weights)], "feature string, importance double"
-    )
+def feature_importance(spark: SparkSession, model: BoostedTrees, feature_cols: Sequence[str] | None = None) -> DataFrame:
+    """(feature, importance), one row per feature: its share of the mean gains of the splits."""
+    named = zip(feature_cols or model.features, model.importances())
+    return spark.createDataFrame([(c, float(w)) for c, w in named], "feature string, importance double")
 
 
 def sort_importances(importances: DataFrame) -> DataFrame:
     return importances.orderBy(F.col("importance").desc(), "feature")
-
-
-@dataclass(frozen=True)
-class SurvivalForest:
-    """Hazards per time bin from a forest over person-periods."""
-
-    model: RandomForestClassificationModel
-    features: tuple[str, ...]
-    edges: tuple[float, ...]
-
-    def write(self, spark: SparkSession, path: str) -> None:
-        self.model.write().overwrite().save(f"{path}/forest")
-        rest = [(list(self.features), list(self.edges))]
-        described = spark.createDataFrame(rest, "features array<string>, edges array<double>")
-        described.coalesce(1).write.mode("overwrite").json(f"{path}/description")
-
-    @classmethod
-    def read(cls, spark: SparkSession, path: str) -> SurvivalForest:
-        rest = spark.read.schema("features array<string>, edges array<double>").json(f"{path}/description").first()
-        return cls(RandomForestClassificationModel.load(f"{path}/forest"), tuple(rest["features"]), tuple(rest["edges"]))
-
-    def risk(self, df: DataFrame, output_col: str = "risk") -> DataFrame:
-        """Add the summed cumulative hazard: the higher, the earlier the event.
-
-        The bins are scored one after the other as columns of the row itself, so no row is expanded or shuffled.
-        """
-        bins = len(self.edges)
-        scored = _assembled(df, self.features, "__x").withColumn("__sum", F.lit(0.0))
-        for b in range(1, bins + 1):
-            # a bin's hazard is part of the cumulative hazard of that and all later bins
-            with_bin = self.model.transform(_with_bin(scored.withColumn("__bin", F.lit(b))))
-            hazard = vector_to_array("probability")[1]
-            scored = with_bin.withColumn("__sum", F.col("__sum") + hazard * F.lit(float(bins + 1 - b))).drop(
-                "__bin", "__features", "rawPrediction", "probability", "prediction"
-            )
-        return scored.select(*df.columns, F.col("__sum").alias(output_col))
-
-
-def _with_bin(periods: DataFrame) -> DataFrame:
-    return VectorAssembler(inputCols=["__x", "__bin"], outputCol="__features").transform(periods)
-
-
-def time_bin_edges(df: DataFrame, duration_col: str, event_col: str, bins: int = TIME_BINS) -> tuple[float, ...]:
-    """Upper ends of the bins: quantiles of the event times, the last one the latest."""
-    probs = [(i + 1) / bins for i in range(bins)]
-    found = df.filter(F.col(event_col) == 1).agg(F.percentile_approx(F.col(duration_col).cast("double"), probs)).first()[0]
-    if not found:
-        raise ValueError("no event to take time bins from")
-    return tuple(sorted(set(found)))
-
-
-def time_bin(duration: Column, edges: Sequence[float]) -> Column:
-    """Number of the bin a duration ends in, counted from 1."""
-    before = sum((F.when(duration > F.lit(e), 1).otherwise(0) for e in edges[:-1]), F.lit(0))
-    return before + 1
-
-
-def person_periods(
-    df: DataFrame, duration_col: str, event_col: str, edges: Sequence[float], keep: Sequence[str]
-) -> DataFrame:
-    """One row per subject and bin under observation; the label marks the event's bin."""
-    ended = df.select(*keep, F.col(event_col).alias("__e"), time_bin(F.col(duration_col), edges).alias("__end"))
-    expanded = ended.withColumn("__bin", F.explode(F.sequence(F.lit(1), F.col("__end"))))
-    label = F.when((F.col("__bin") == F.col("__end")) & (F.col("__e") == 1), 1.0).otherwise(0.0)
-    return expanded.select(*keep, "__bin", label.alias("__label"))
-
-
-def train_survival_forest(
-    train: DataFrame,
-    duration_col: str,
-    event_col: str,
-    covariate_cols: Sequence[str],
-    n_estimators: int = FOREST_TREES,
-    bins: int = TIME_BINS,
-    max_depth: int = FOREST_DEPTH,
-) -> SurvivalForest:
-    """A random forest on the hazard of each time bin.
-
-    Unlike a forest that splits on log-rank statistics, it splits on the event label
-    of person-periods; its leaves hold at least ten of them. Covariates are cut into 32 bins to look for splits.
-    """
-    ensure_checkpoint_dir(train.sparkSession)
-    edges = time_bin_edges(train, duration_col, event_col, bins)
-    vectors = _assembled(train.dropna(subset=[duration_col, event_col]), covariate_cols, "__x")
-    periods = person_periods(vectors, duration_col, event_col, edges, ["__x"])
-    data = materialize(_with_bin(periods).select("__features", "__label"), "periods")
-    forest = RandomForestClassifier(
-        featuresCol="__features", labelCol="__label", seed=SEED,
-        numTrees=n_estimators, maxDepth=max_depth, minInstancesPerNode=FOREST_MIN_LEAF, cacheNodeIds=True,
-        checkpointInterval=10,
-    )
-    return SurvivalForest(forest.fit(data), tuple(covariate_cols), edges)

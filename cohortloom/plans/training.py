@@ -51,7 +51,7 @@ def sides(split: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 @dataclass(frozen=True)
 class ClassificationResult:
-    model: models.GBTClassificationModel
+    model: models.BoostedTrees
     metrics: DataFrame  # (metric, value)
     importances: DataFrame  # (feature, importance), most important first
 

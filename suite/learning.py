@@ -237,56 +237,201 @@ def partial_hazard(spark, sf):
     return cox.partial_hazard(model, df).select("c_custkey", F.round("partial_hazard", 6).alias("partial_hazard"))
 
 
-# With one two-valued feature every tree has a leaf per value. The first tree is the mean of the labels (-1, 1), each
-# further one adds a share of the mean of 4 y / (1 + exp(2 y F)).
-BOOSTED_SQL = f"""
-    with recursive patients as ({PATIENTS_SQL}),
-    cells as (select n_orders > 10 as many, avg(cast(event as double)) as p from patients group by 1),
-    rounds as (
-        select many, p, 1 as k, 2 * p - 1 as f from cells
-        union all
-        select many, p, k + 1, f + {models.BOOSTING["eta"]} * (4 * p / (1 + exp(2 * f)) - 4 * (1 - p) / (1 + exp(-2 * f)))
-        from rounds where k < {models.BOOSTING["n_estimators"]})
-    select c_custkey, event, round(1 / (1 + exp(-2 * f)), 6) as score
-    from patients join rounds on many = (n_orders > 10) where k = {models.BOOSTING["n_estimators"]}
+def two_valued(spark, sf):
+    """Patients with two features of two values, and a side of the split that SQL can name."""
+    return materialize(
+        patients(spark, sf).select(
+            "c_custkey", "duration", "event",
+            F.when(F.col("n_orders") > 10, 1.0).otherwise(0.0).alias("many"),
+            F.when(F.col("c_acctbal") > 5000, 1.0).otherwise(0.0).alias("rich"),
+            F.when(F.col("c_custkey") % 4 == 0, "test").otherwise("train").alias("split"),
+        ),
+        "two_valued",
+    )
+
+
+ETA, ROUNDS = models.BOOSTING["eta"], models.BOOSTING["n_estimators"]
+TWO_VALUED_SQL = f"""
+    patients as (select *, n_orders > 10 as many, c_acctbal > 5000 as rich,
+                        case when c_custkey % 4 = 0 then 'test' else 'train' end as split from ({PATIENTS_SQL}))
 """
 
 
-def binary_patients(spark, sf):
-    """Patients with one feature of two values, and one that tells nothing."""
-    many = F.when(F.col("n_orders") > 10, 1.0).otherwise(0.0)
-    return materialize(patients(spark, sf).select("c_custkey", "event", many.alias("many"), F.lit(1.0).alias("same")), "binary")
+def _boosted_sql(features: str, rounds: int, select: str, where: str = "true") -> str:
+    """Rounds of second-order boosting over the four cells of two two-valued features, a row per round.
 
+    Every tree is the better one of two splits; with one feature it is that one's. ``f`` are the scores of the cells
+    (neither, rich, many, both), ``s_many`` and ``s_rich`` the sums of the gains.
+    """
+    sides = {"many": ("01", "23"), "rich": ("02", "13")}
+    cells = {"0": "not many and not rich", "1": "not many and rich", "2": "many and not rich", "3": "many and rich"}
+    total = lambda x, side: "(" + " + ".join(f"{x}{c}" for c in side) + ")"
+    term = lambda side: f"{total('g', side)} ^ 2 / ({total('h', side)} + 1)"
+    gains = []
+    for name, (left, right) in sides.items():
+        fits = f"least({total('h', left)}, {total('h', right)}) >= 1" if name in features.split() else "false"
+        gains.append(f"case when {fits} then {term(left)} + {term(right)} - {term('0123')} else 0 end as gain_{name}")
+
+    def moved(c: str) -> str:
+        step = lambda side: f"{total('g', side)} / ({total('h', side)} + 1)"
+        own = {name: next(side for side in both if c in side) for name, both in sides.items()}
+        return f"f{c} - {ETA} * case best when 'many' then {step(own['many'])} when 'rich' then {step(own['rich'])} else {step('0123')} end"
+
+    keep = ", ".join(f"n{c}, y{c}" for c in cells)
+    counts = ", ".join(f"cast(count(*) filter ({w}) as double) as n{c}, cast(count(*) filter ({w} and event = 1) as double) as y{c}" for c, w in cells.items())
+    start = f"4 * {total('y', '0123')} / {total('n', '0123')} - 2"
+    return f"""
+    with recursive {TWO_VALUED_SQL},
+    counts as (select {counts} from patients where {where}),
+    rounds as (
+        select 0 as k, {", ".join(f"{start} as f{c}" for c in cells)}, {keep}, cast(0 as double) as s_many, 0 as t_many,
+               cast(0 as double) as s_rich, 0 as t_rich from counts
+        union all
+        select k + 1, {", ".join(moved(c) for c in cells)}, {keep},
+               s_many + if(best = 'many', gain_many, 0), t_many + if(best = 'many', 1, 0),
+               s_rich + if(best = 'rich', gain_rich, 0), t_rich + if(best = 'rich', 1, 0)
+        from (select *, case when greatest(gain_many, gain_rich) <= 1e-6 then 'none'
+                             when gain_rich > gain_many * (1 + 1e-10) then 'rich' else 'many' end as best
+              from (select *, {", ".join(gains)}
+                    from (select *, {", ".join(f"n{c} / (1 + exp(-f{c})) - y{c} as g{c}, n{c} / (1 + exp(-f{c})) / (1 + exp(f{c})) as h{c}" for c in cells)}
+                          from rounds where k < {rounds})))),
+    fitted as (select *, s_many / greatest(t_many, 1) as m_many, s_rich / greatest(t_rich, 1) as m_rich from rounds where k = {rounds}),
+    scored as (select *, 1 / (1 + exp(-case when many then if(rich, f3, f2) else if(rich, f1, f0) end)) as score from patients, fitted)
+    {select}
+    """
 
-@query("train_boosted_classifier", BOOSTED_SQL)
+
+@query(
+    "train_boosted_classifier",
+    _boosted_sql("many", ROUNDS, "select c_custkey, event, round(score, 6) as score from scored"),
+)
 def train_boosted_classifier(spark, sf):
-    df = binary_patients(spark, sf)
-    scored = models.score_classifier(models.train_boosted_classifier(df, ["many"]), df, ["many"])
+    df = two_valued(spark, sf)
+    scored = models.score_classifier(models.train_boosted_classifier(df, ["many"]), df)
     return scored.select("c_custkey", "event", F.round("score", 6).alias("score"))
 
 
 @query(
-    "feature_importance",
-    "select unnest(['many', 'same']) as feature, unnest([cast(1 as double), cast(0 as double)]) as importance",
+    "train_boosted_by_levels",
+    _boosted_sql("many rich", 12, "select c_custkey, event, round(score, 6) as score from scored"),
 )
+def train_boosted_by_levels(spark, sf):
+    """The same trees with a job for each level, as tables need that are too large for one task."""
+    df, shape = two_valued(spark, sf), {"max_depth": 1, "n_estimators": 12}
+    model = models.train_boosted_classifier(df, ["many", "rich"], params=shape, task_cells=0)
+    return models.score_classifier(model, df).select("c_custkey", "event", F.round("score", 6).alias("score"))
+
+
+@query(
+    "feature_importance",
+    _boosted_sql(
+        "many rich", ROUNDS,
+        """
+        select 'many' as feature, round(m_many / (m_many + m_rich), 6) as importance from fitted
+        union all select 'rich', round(m_rich / (m_many + m_rich), 6) from fitted
+        """,
+    ),
+)
 def feature_importance(spark, sf):
-    features = ["many", "same"]
-    model = models.train_boosted_classifier(binary_patients(spark, sf), features)
-    return models.feature_importance(spark, model, features)
+    model = models.train_boosted_classifier(two_valued(spark, sf), ["many", "rich"], params={"max_depth": 1})
+    shares = models.feature_importance(spark, model)
+    return shares.select("feature", F.round("importance", 6).alias("importance"))
+
+
+BOOSTED_FEATURES = ["n_orders", "mean_price", "urgent_price", "c_acctbal", "c_nationkey"]
+
+
+def patients_with_gaps(spark, sf):
+    """Patients whose mean price of urgent orders is missing where they have none, on the sides of a split."""
+    urgent = table(spark, sf, "orders").filter("o_orderpriority = '1-URGENT'").groupBy(F.col("o_custkey").alias("c_custkey"))
+    prices = urgent.agg(F.avg("o_totalprice").alias("urgent_price"))
+    return materialize(split_patients(spark, sf).join(prices, "c_custkey", "left"), "patients")
+
 
+@query("train_boosted_features")
+def train_boosted_features(spark, sf):
+    """Five features, one with missing values, at full depth and rounds, scored on rows not trained on."""
+    train, test = training.sides(patients_with_gaps(spark, sf))
+    model = models.train_boosted_classifier(train, BOOSTED_FEATURES)
+    return models.score_classifier(model, test).select("c_custkey", "event", "score")
 
-@query("train_survival_forest")
+
+@query("classification_importances")
+def classification_importances(spark, sf):
+    """Importances as the run returns them, most important first."""
+    return training.classification_run(patients_with_gaps(spark, sf), BOOSTED_FEATURES).importances
+
+
+@query(
+    "train_survival_forest",
+    f"""
+    with {TWO_VALUED_SQL},
+    grid as (select distinct duration as t from patients where event = 1),
+    sides as (select *, case when least(count(*) filter (many) over (), count(*) filter (not many) over ()) >= 10 then many end as side from patients),
+    steps as (select side, t, sum(event) filter (duration = t) as d, count(*) filter (duration >= t) as y,
+                     (select count(*) from grid as later where later.t >= grid.t) as left_over
+              from sides, grid group by side, t),
+    leaves as (select side, sum(d / y * left_over) as risk from steps where d > 0 group by side)
+    select c_custkey, duration, event, round(coalesce(risk, 0), 6) as risk
+    from sides left join leaves on sides.side is not distinct from leaves.side
+    """,
+)
 def train_survival_forest(spark, sf):
+    """One tree without draws: a log-rank split of a two-valued covariate, and the hazards of its leaves."""
+    df = two_valued(spark, sf)
+    forest = models.train_survival_forest(df, "duration", "event", ["many"], n_estimators=1, bootstrap=False)
+    return forest.risk(df).select("c_custkey", "duration", "event", F.round("risk", 6).alias("risk"))
+
+
+@query("survival_forest_features")
+def survival_forest_features(spark, sf):
     train, test = training.sides(split_patients(spark, sf))
     forest = models.train_survival_forest(train, "duration", "event", FEATURES)
     return forest.risk(test).select("c_custkey", "duration", "event", "risk")
 
 
-@query("classification_run")
+@query(
+    "classification_run",
+    f"""
+    with {TWO_VALUED_SQL},
+    rates as (select many, avg(event) as rate from patients where split = 'train' group by many),
+    tested as (select rate, sum(event) as pos, sum(1 - event) as neg from patients join rates using (many)
+               where split = 'test' group by rate),
+    ordered as (select *, sum(neg) over (order by rate) - neg as below, sum(pos) over (order by rate desc) as tp,
+                       sum(pos + neg) over (order by rate desc) as n from tested)
+    select 'test_roc_auc' as metric, round(sum(pos * (below + neg / 2)) / (sum(pos) * sum(neg)), 9) as value from ordered
+    union all
+    select 'test_pr_auc', round(sum(pos * tp / n) / sum(pos), 9) from ordered
+    """,
+)
 def classification_run(spark, sf):
-    return training.classification_run(split_patients(spark, sf), FEATURES).metrics
+    """With one two-valued feature the scores follow its event rates, whatever the trees."""
+    found = training.classification_run(two_valued(spark, sf), ["many"]).metrics
+    return found.select("metric", F.round("value", 9).alias("value"))
 
 
-@query("survival_run")
+@query(
+    "survival_run",
+    f"""
+    with {TWO_VALUED_SQL},
+    train as (select * from patients where split = 'train'),
+    steps as (select t, count(*) filter (duration >= t) as y, count(*) filter (duration >= t and many) as y1,
+                     sum(event) filter (duration = t) as d, coalesce(sum(event) filter (duration = t and many), 0) as d1
+              from train, (select distinct duration as t from train where event = 1) group by t),
+    excess as (select sign(sum(d1 - y1 * d / y)) as s from steps),
+    cells as (select duration as t, event as e, if(many, s, 0) as r, count(*) as w from patients, excess where split = 'test' group by all),
+    pairs as (select a.w * b.w as n, case when a.r > b.r then 1.0 when a.r = b.r then 0.5 else 0.0 end as c
+              from cells as a join cells as b on a.e = 1 and (a.t < b.t or (a.t = b.t and b.e = 0)))
+    select unnest(['coxph_test_concordance_index', 'survival_forest_test_concordance_index']) as metric,
+           round(sum(n * c) / sum(n), 9) as value from pairs
+    """,
+)
 def survival_run(spark, sf):
+    """With one two-valued covariate both models order the patients by the side with more deaths than expected."""
+    found = training.survival_run(two_valued(spark, sf), ["many"], "duration", n_estimators=60).metrics
+    return found.select("metric", F.round("value", 9).alias("value"))
+
+
+@query("survival_run_features")
+def survival_run_features(spark, sf):
     return training.survival_run(split_patients(spark, sf), FEATURES, "duration").metrics

@@ -108,17 +108,6 @@ def test_constant_covariate_is_harmless(spark):
     assert model.coefficients[1] == 0.0 and model.summary(spark).count() == 2
 
 
-def test_person_periods(spark):
-    df = spark.createDataFrame([("a", 5.0, 1), ("b", 10.0, 0), ("c", 30.0, 0)], "id string, t double, e int")
-    rows = models.person_periods(df, "t", "e", (5.0, 10.0, 20.0), ["id"]).collect()
-    by_id = {}
-    for r in rows:
-        by_id.setdefault(r["id"], []).append((r["__bin"], r["__label"]))
-    assert {k: sorted(v) for k, v in by_id.items()} == {
-        "a": [(1, 1.0)], "b": [(1, 0.0), (2, 0.0)], "c": [(1, 0.0), (2, 0.0), (3, 0.0)],
-    }
-
-
 def separable(spark):
     rng = random.Random(1)
     rows = []
@@ -176,5 +165,5 @@ def test_survival_models_come_back(spark, scratch):
     forest = models.train_survival_forest(df, "t", "e", ["x"], n_estimators=5)
     forest.write(spark, f"{scratch}/forest")
     again = models.SurvivalForest.read(spark, f"{scratch}/forest")
-    assert (again.features, again.edges) == (forest.features, forest.edges)
+    assert (again.features, again.times) == (forest.features, forest.times)
     assert sorted(map(tuple, again.risk(df).collect())) == sorted(map(tuple, forest.risk(df).collect()))

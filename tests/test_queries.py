@@ -10,8 +10,8 @@ SMALL, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 # the smallest data makes a single count file, fewer than expression data needs
 NEEDS_FILES = {"guard_min_groups", "ingest_rna_seq", "patient_features_tcga"}
 NO_SQL = sorted(set(QUERIES) - set(ORACLES))
-# 300 rounds or trees, whatever the size of the data
-LEARNING = {"classification_run", "survival_run", "train_survival_forest"}
+# 300 trees, whatever the size of the data
+LEARNING = {"survival_forest_features", "survival_run_features"}
 
 
 @pytest.fixture(scope="module")
