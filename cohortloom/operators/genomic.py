@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom import defaults
 from cohortloom.operators.guards import guard_min_columns
 from cohortloom.operators.joins import join_left_lookup, semi_join_isin
+from cohortloom.operators.reduction import standard_axes
+from cohortloom.runtime import materialize
 
 
 def gene_variance(long_df: DataFrame, gene_col: str, value_col: str) -> DataFrame:
@@ -32,9 +32,9 @@ def top_k_by_variance(long_df: DataFrame, gene_col: str, value_col: str, n: int
 
 def top_variable_genes(long_df: DataFrame, gene_col: str, value_col: str, n: int = defaults.TOP_GENES) -> DataFrame:
     """The rows of the ``n`` most variable genes."""
-    keep = top_k_by_variance(long_df, gene_col, value_col, n).select(gene_col)
-    # the kept names are at most n short texts
-    return semi_join_isin(long_df, F.broadcast(keep) if n <= 100_000 else keep, gene_col)
+    # written, so that the join broadcasts the names by their size or not at all
+    keep = materialize(top_k_by_variance(long_df, gene_col, value_col, n).select(gene_col), "genes")
+    return semi_join_isin(long_df, keep, gene_col)
 
 
 def pca_rank(columns: int, rows: int, limit: int = defaults.MAX_COMPONENTS) -> int:
@@ -53,17 +53,9 @@ def reduce_expression_pca(
 
 def reduce_vector_pca(df: DataFrame, vector_col: str, k: int, id_col: str = "patient_key") -> DataFrame:
     """The same from one vector per id; no wide table is ever built. The largest loading of a component is positive."""
-    scaler = StandardScaler(inputCol=vector_col, outputCol="__scaled", withMean=True, withStd=True).fit(df)
-    scaled = scaler.transform(df).select(id_col, "__scaled")
-    axes = PCA(k=k, inputCol="__scaled", outputCol="__components").fit(scaled)
-    # an axis may point either way: let its largest loading be positive
-    loadings = axes.pc.toArray()
-    largest = np.abs(loadings).argmax(axis=0)
-    signs = np.where(loadings[largest, np.arange(k)] < 0, -1.0, 1.0)
-    values = vector_to_array("__components")
-    return axes.transform(scaled).select(
-        id_col, *[(F.get(values, F.lit(i)) * F.lit(float(s))).alias(f"expression_pca_{i}") for i, s in enumerate(signs)]
-    )
+    rows = df.select(id_col, vector_col)
+    reduced = standard_axes(rows, vector_col, k).project(rows, vector_col, "__components")
+    return reduced.select(id_col, *[F.get("__components", F.lit(i)).alias(f"expression_pca_{i}") for i in range(k)])
 
 
 def aggregate_mutation_burden(

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortloom.runtime import materialize
+
 
 def pivot_long_to_wide(
     df: DataFrame,
@@ -46,14 +49,15 @@ def long_to_vector(
     never collects more entries than there are attributes.
     """
     n = len(attributes)
-    places = df.sparkSession.createDataFrame(list(zip(attributes, range(n))), f"`{attribute_col}` string, __i int")
+    named = df.sparkSession.createDataFrame(list(zip(attributes, range(n))), f"`{attribute_col}` string, __i int")
+    places = materialize(named, "places")  # of a known size: broadcast only if that is small
     value = F.col(value_col).cast("double")
     if order_by:
         one: Column = F.min_by(value, F.when(value.isNotNull(), F.struct(*order_by)))
     else:
         one = F.first(value, ignorenulls=True)
     cells = (
-        df.join(F.broadcast(places), attribute_col)  # as many rows as there are attributes
+        df.join(places, attribute_col)
         .groupBy(id_col, "__i")
         .agg(one.alias("__v"))
         .select(id_col, F.struct("__i", F.coalesce("__v", F.lit(missing)).alias("__v")).alias("__cell"))
@@ -75,16 +79,13 @@ def dedupe_by_key(df: DataFrame, key: str, columns: Sequence[str], order_by: Seq
 
 def union_by_name(tagged: Sequence[tuple[DataFrame, str]], tag_col: str = "source") -> DataFrame:
     """Union of frames with equal column names, each tagged by its source."""
-    result = None
-    for df, tag in tagged:
-        part = df.withColumn(tag_col, F.lit(tag))
-        result = part if result is None else result.unionByName(part)
-    return result
+    return _stacked([df.withColumn(tag_col, F.lit(tag)) for df, tag in tagged], gaps=False)
 
 
 def concat_frames(frames: Sequence[DataFrame]) -> DataFrame:
     """Union by name where a frame may lack columns of another."""
-    result = frames[0]
-    for part in frames[1:]:
-        result = result.unionByName(part, allowMissingColumns=True)
-    return result
+    return _stacked(frames, gaps=True)
+
+
+def _stacked(frames: Sequence[DataFrame], gaps: bool) -> DataFrame:
+    return functools.reduce(lambda above, below: above.unionByName(below, allowMissingColumns=gaps), frames)

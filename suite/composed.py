@@ -307,11 +307,62 @@ def clinical_features(spark, sf):
     return _doubles(scan_layer(spark, features.clinical_features(spark, cleaned_clinical(spark, sf))), ["stage_rank"])
 
 
-@query("expression_features")
+def _expression_sql(values: str) -> str:
+    """Squared length of the standardised values of every patient; a gene without a value counts as 0."""
+    return f"""
+        with cells as ({values}),
+             wide as (select p.patient_key, g.gene, coalesce(c.v, 0) as v
+                      from (select distinct patient_key from cells) as p cross join (select distinct gene from cells) as g
+                           left join cells as c using (patient_key, gene)),
+             scales as (select gene, avg(v) as m, stddev_samp(v) as s from wide group by gene)
+        select patient_key, round(sum(case when s > 0 then ((v - m) / s) ** 2 else 0 end), 4) as squared_length
+        from wide join scales using (gene) group by patient_key
+    """
+
+
+def _squared_length(components):
+    """All components together keep the length of a row, however they are turned."""
+    names = [c for c in components.columns if c.startswith("expression_pca_")]
+    squares = sum((F.col(c) ** 2 for c in names), F.lit(0.0))
+    return components.select("patient_key", F.round(squares, 4).alias("squared_length"))
+
+
+@query(
+    "expression_features",
+    _expression_sql(
+        f"""
+        select patient_key, gene_name as gene, coalesce(arg_min(unstranded, (gene_id, file_id)), 0) as v
+        from ({CLEAN_RNA_SQL}) as c where gene_name is not null group by 1, 2
+        """
+    ),
+)
 def expression_features(spark, sf):
     root = lake(spark)
     cleaned_rna_seq(spark, sf, root)
-    return scan_layer(spark, features.expression_features(spark, root, order_by=["gene_id", "file_id"]))
+    made = features.expression_features(spark, root, order_by=["gene_id", "file_id"], components=10_000)
+    return _squared_length(scan_layer(spark, made))
+
+
+@query(
+    "expression_components",
+    _expression_sql(
+        """
+        select 'P' || (l_suppkey % 120) as patient_key, 'G' || (l_partkey % 300) as gene,
+               arg_min(l_quantity, (l_orderkey, l_linenumber)) as v
+        from lineitem group by 1, 2
+        """
+    ),
+)
+def expression_components(spark, sf):
+    """The reduction of many patients' genes in one piece, from the long table to the components."""
+    lines = table(spark, sf, "lineitem").select(
+        F.concat(F.lit("P"), F.col("l_suppkey") % 120).alias("patient_key"),
+        F.concat(F.lit("G"), F.col("l_partkey") % 300).alias("gene_name"),
+        F.col("l_quantity").alias("unstranded"),
+        "l_orderkey",
+        "l_linenumber",
+    )
+    return _squared_length(features.expression_features_frame(lines, components=10_000, order_by=["l_orderkey", "l_linenumber"]))
 
 
 BURDEN_SQL = f"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -61,6 +62,53 @@ def reduce_expression_pca(spark, sf):
     return reduced.select("patient_key", F.round(squares, 4).alias("squared_length"))
 
 
+def _correlation_sql(columns):
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
+    return ", ".join(f"corr({a}, {b}) as r{k}" for k, (a, b) in enumerate(pairs))
+
+
+PCA_COLUMNS = ["l_quantity", "l_extendedprice", "l_tax"]
+
+
+@query(
+    "pca_variances",
+    f"""
+    with r as (select {_correlation_sql(PCA_COLUMNS)} from lineitem),
+         p as (select *, sqrt((r0 * r0 + r1 * r1 + r2 * r2) / 3) as p from r),
+         a as (select p, acos(greatest(-1, least(1, r0 * r1 * r2 / p ** 3))) / 3 as a from p),
+         e as (select 1 + 2 * p * cos(a) as e0, 1 + 2 * p * cos(a + 2 * pi() / 3) as e2 from a)
+    select unnest([0, 1, 2]) as component, unnest([round(e0, 8), round(3 - e0 - e2, 8), round(e2, 8)]) as variance from e
+    """,
+)
+def pca_variances(spark, sf):
+    """Variance of every component of three columns: the roots of the cubic of their correlations."""
+    lines = table(spark, sf, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("patient_key"), *[F.col(c).cast("double").alias(c) for c in PCA_COLUMNS]
+    )
+    reduced = genomic.reduce_expression_pca(lines, PCA_COLUMNS, k=3)
+    spread = F.array(*[F.var_samp(f"expression_pca_{i}") for i in range(3)])
+    found = reduced.agg(spread.alias("v")).select(F.posexplode("v").alias("component", "variance"))
+    return found.select("component", F.round("variance", 8).alias("variance"))
+
+
+@query(
+    "pca_moments",
+    """
+    with genes as (select vec_id, unnest(range(64)) as gene, unnest(embedding)::double as v from embeddings),
+         pairs as (select corr(a.v, b.v) as r, a.gene as g, b.gene as h from genes as a join genes as b using (vec_id) group by all)
+    select round(sum(r) filter (g = h), 6) as total, round(sum(r * r), 6) as squares from pairs
+    """,
+)
+def pca_moments(spark, sf):
+    """Sum of the variances of all components, and of their squares: those of the correlations."""
+    reduced = genomic.reduce_vector_pca(
+        table(spark, sf, "embeddings").select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("v")), "v", 64, "vec_id"
+    )
+    spread = F.array(*[F.var_samp(f"expression_pca_{i}") for i in range(64)])
+    moments = reduced.agg(spread.alias("v")).select(F.explode("v").alias("x"))
+    return moments.agg(F.round(F.sum("x"), 6).alias("total"), F.round(F.sum(F.col("x") * F.col("x")), 6).alias("squares"))
+
+
 @query(
     "prepare_training_table",
     """
