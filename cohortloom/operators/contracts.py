@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -106,12 +106,8 @@ def _value_checks(df: DataFrame, contract: Contract) -> list[tuple[str, str, Col
     return checks
 
 
-def contract_report(df: DataFrame, contract: Contract, only: Sequence[str] | None = None) -> DataFrame:
-    """One row per check: (column, check, failures, rows).
-
-    ``only`` restricts the report to some kinds of check. Schema checks fail once;
-    value checks fail once per bad row.
-    """
+def _checks(df: DataFrame, contract: Contract, only: Sequence[str] | None) -> tuple[list, list]:
+    """Checks on the schema with their outcome, and checks on values with the condition of a bad row."""
     static = []
     for rule in contract.rules:
         there = rule.column in df.columns
@@ -119,13 +115,23 @@ def contract_report(df: DataFrame, contract: Contract, only: Sequence[str] | Non
         if there and rule.kind is not None:
             static.append((rule.column, "type", 0 if _fits(df.schema[rule.column].dataType, rule.kind) else 1))
     static = [s for s in static if only is None or s[1] in only]
-    checks = [c for c in _value_checks(df, contract) if only is None or c[1] in only]
+    return static, [c for c in _value_checks(df, contract) if only is None or c[1] in only]
 
+
+def _counts(checks: list) -> list[Column]:
+    return [F.count(F.lit(1)).alias("rows"), *[F.count_if(bad).alias(f"f{i}") for i, (_, _, bad) in enumerate(checks)]]
+
+
+def contract_report(df: DataFrame, contract: Contract, only: Sequence[str] | None = None) -> DataFrame:
+    """One row per check: (column, check, failures, rows).
+
+    ``only`` restricts the report to some kinds of check. Schema checks fail once;
+    value checks fail once per bad row.
+    """
+    static, checks = _checks(df, contract, only)
     if not static and not checks:
         return df.sparkSession.createDataFrame([], "column string, check string, failures long, rows long")
-    counted = df.agg(
-        F.count(F.lit(1)).alias("rows"), *[F.count_if(bad).alias(f"f{i}") for i, (_, _, bad) in enumerate(checks)]
-    )
+    counted = df.agg(*_counts(checks))
     lines = [(column, check, F.lit(n).cast("long")) for column, check, n in static]
     lines += [(column, check, F.col(f"f{i}")) for i, (column, check, _) in enumerate(checks)]
     entries = [
@@ -135,6 +141,28 @@ def contract_report(df: DataFrame, contract: Contract, only: Sequence[str] | Non
     return counted.select(F.inline(F.array(*entries)))
 
 
+class Watch:
+    """The checks of a contract, counted by whatever job uses ``df`` first, without a pass of their own."""
+
+    def __init__(self, df: DataFrame, contract: Contract):
+        self.contract = contract
+        self.static, self.checks = _checks(df, contract, None)
+        self._seen = Observation()
+        self.df = df.observe(self._seen, *_counts(self.checks))
+
+    def rows(self) -> list[tuple[str, str, int, int]]:
+        """(column, check, failures, rows), once the job has run."""
+        seen = self._seen.get
+        lines = [*self.static, *[(column, check, seen[f"f{i}"]) for i, (column, check, _) in enumerate(self.checks)]]
+        return [(column, check, n, seen["rows"]) for column, check, n in lines]
+
+    def validate(self) -> None:
+        """Raise all failures together."""
+        failed = [(column, check, n) for column, check, n, _ in self.rows() if n]
+        if failed:
+            raise ContractViolation(self.contract, failed)
+
+
 def contract_columns(df: DataFrame, contract: Contract) -> DataFrame:
     return contract_report(df, contract, ["exists", "type"])
 

@@ -70,13 +70,14 @@ def _published(
     df: DataFrame, path: str, ingestion_date: str | None, contract: contracts.Contract | None = None,
     minimum: tuple[str, int, str] | None = None,
 ) -> str:
-    """Write a source once to the shared folder, check what was written, and publish it as a slice.
+    """Write a source once to the shared folder, checking it on the way, and publish it as a slice.
 
     The raw files are read once however many checks there are; a failed check leaves the slice as it was.
     """
-    staged = materialize(df, "staged")
-    if contract is not None:
-        contracts.validate(staged, contract)
+    watch = None if contract is None else contracts.Watch(df, contract)
+    staged = materialize(df if watch is None else watch.df, "staged")
+    if watch is not None:
+        watch.validate()
     if minimum is not None:
         guard_min_groups(staged, *minimum)
     return write_bronze_slice(staged, path, ingestion_date)

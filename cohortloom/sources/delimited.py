@@ -18,7 +18,6 @@ COUNT_SCHEMA = (
     "gene_id string, gene_name string, gene_type string, unstranded long, stranded_first long, "
     "stranded_second long, tpm_unstranded double, fpkm_unstranded double"
 )
-MAX_LAYOUTS = 1000
 BETA_SCHEMA = "probe_id string, beta_value double"
 FILE_STEM = r"([^/]+?)(?:\.[^/]*)?$"
 FILE_FOLDER = r"([^/]+)/[^/]+$"
@@ -36,39 +35,42 @@ def scan_count_tsv(
 
     Every file is read by its own header, so columns may stand in any order. The columns of ``schema`` must be there;
     what else some file has is kept, measures (``tpm_*``, ``fpkm_*``) as numbers and the rest as text. All rows are
-    kept, and a value that does not fit its type fails the read. Headers are found by a pass of their own over the
-    lines that begin with the schema's first column; only their distinct texts reach the driver.
+    kept, and a value that does not fit its type fails the read. The lines are read once, into a table in the shared
+    folder, where headers are found: the lines that begin with the schema's first column. The places of the columns are
+    looked up once per file; the driver learns the names of the columns only.
     """
     wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    lines = (
+    raw = (
         spark.read.option("recursiveFileLookup", True)
         .text(path if isinstance(path, str) else list(path))
         .select("value", F.col("_metadata.file_path").alias("__file"), file_id_of(file_id).alias("file_id"))
     )
     is_header = F.col("value").startswith(f"{wanted.names[0]}\t")
-    headers = materialize(lines.filter(is_header).groupBy("__file").agg(F.first("value").alias("header")), "headers")
-    texts = [r["header"].split("\t") for r in headers.select("header").distinct().limit(MAX_LAYOUTS + 1).collect()]
-    if len(texts) > MAX_LAYOUTS:
-        raise ValueError(f"the count files have more than {MAX_LAYOUTS} layouts")
-    for names in texts:
-        if missing := [n for n in wanted.names if n not in names]:
-            raise ValueError(f"count files lack the columns {missing}")
-    measure = ("tpm_", "fpkm_")
-    more = sorted({n for names in texts for n in names} - set(wanted.names))
-    kinds = [(f.name, f.dataType) for f in wanted]
-    kinds += [(n, T.DoubleType() if n.startswith(measure) else T.StringType()) for n in more]
-    rows = lines.filter((F.trim("value") != "") & ~F.col("value").startswith("#") & ~is_header)
+    # sorted by nothing: lines stay in the order of their files, whose names compress to nearly nothing
+    lines = materialize(raw.filter((F.trim("value") != "") & ~F.col("value").startswith("#")), "lines")
+    first = lines.filter(is_header).groupBy("__file").agg(F.first("value").alias("header"))
+    headers = materialize(first.select("__file", F.split("header", "\t", -1).alias("names")), "headers")
+    lacking = headers.select(F.array_except(F.lit(wanted.names), "names").alias("lacking")).filter(F.size("lacking") > 0).first()
+    if lacking:
+        raise ValueError(f"count files lack the columns {lacking['lacking']}")
+    rows = lines.filter(~is_header)
     if not rows.join(headers, "__file", "left_anti").isEmpty():
         raise ValueError("count files without the header they must have")
-    held = F.split("value", "\t", -1)
-    names = F.split("header", "\t", -1)
-
-    def field(name: str, kind: T.DataType) -> Column:
-        place = F.array_position(names, name)
-        text = F.get(held, (F.when(place > 0, place) - 1).cast("int"))
+    seen = {r["name"] for r in headers.select(F.explode("names").alias("name")).distinct().collect()}
+    measure = ("tpm_", "fpkm_")
+    kinds = [(f.name, f.dataType) for f in wanted]
+    kinds += [(n, T.DoubleType() if n.startswith(measure) else T.StringType()) for n in sorted(seen - set(wanted.names))]
+    # the places of all columns in a file's rows, behind the last where it lacks one
+    absent = F.lit(1 << 20)
+    at = [F.coalesce(F.nullif(F.array_position("names", n).cast("int"), F.lit(0)) - 1, absent) for n, _ in kinds]
+    places = materialize(headers.select("__file", F.array(*at).alias("__at")), "places")
+
+    def field(i: int, name: str, kind: T.DataType) -> Column:
+        text = F.get("__held", F.get("__at", F.lit(i)))
         return F.nullif(F.regexp_replace(text, '^"(.*)"$', "$1"), F.lit("")).cast(kind).alias(name)
 
-    return rows.join(headers, "__file").select(*[field(n, k) for n, k in kinds], "file_id")
+    held = rows.select("file_id", "__file", F.split("value", "\t", -1).alias("__held")).join(places, "__file")
+    return held.select(*[field(i, n, k) for i, (n, k) in enumerate(kinds)], "file_id")
 
 
 def scan_beta_tsv(
