@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.runtime import any_of
+from cohortloom.runtime import any_of, bucketed
 
 
 def has_flag(name: str) -> str:
@@ -46,6 +48,38 @@ def fuse_modalities(
     return joined.withColumns(flags).select(id_col, *columns, *flags)
 
 
+def bucket_modalities(modalities: dict[str, DataFrame], id_col: str = "patient_key", buckets: int | None = None) -> dict[str, DataFrame]:
+    """The modalities, written once in equal hash buckets of the id, to be fused any number of times without a shuffle.
+
+    ``buckets`` is the session's number of shuffle partitions unless given; choose it by the size of the largest block.
+    """
+    some = next(iter(modalities.values())).sparkSession
+    n = buckets or int(some.conf.get("spark.sql.shuffle.partitions"))
+    return {name: bucketed(df, [id_col], n, "modality") for name, df in modalities.items()}
+
+
+def fuse_bucketed(modalities: dict[str, DataFrame], id_col: str = "patient_key", buckets: int | None = None) -> DataFrame:
+    """:func:`fuse_modalities` of modalities from :func:`bucket_modalities`, with the same rows.
+
+    The ids of all are written in buckets, too; every modality is then a left join of tables in equal buckets, which no
+    exchange precedes. A modality may hold several rows of an id; its rows are then combined with those of the others.
+    """
+    if not modalities:
+        raise ValueError("no modalities given")
+    blocks = _blocks(modalities, id_col)
+    known = [block.select(id_col).filter(F.col(id_col).isNotNull()) for block in blocks.values()]
+    some = known[0].sparkSession
+    n = buckets or int(some.conf.get("spark.sql.shuffle.partitions"))
+    joined = bucketed(functools.reduce(DataFrame.union, known).distinct(), [id_col], n, "ids")
+    for block in blocks.values():
+        joined = joined.join(block.hint("merge"), id_col, "left")
+    for block in blocks.values():
+        joined = joined.unionByName(block.filter(F.col(id_col).isNull()), allowMissingColumns=True)
+    flags = {has_flag(name): F.coalesce(F.col(has_flag(name)), F.lit(False)) for name in blocks}
+    columns = [c for block in blocks.values() for c in block.columns if c != id_col and c not in flags]
+    return joined.withColumns(flags).select(id_col, *columns, *flags)
+
+
 def _grouped(known: dict[str, DataFrame], id_col: str) -> DataFrame:
     """With one row per id and modality the join is a union grouped by id: one shuffle."""
     stacked = None

@@ -20,6 +20,45 @@ def distinct_count(df: DataFrame, columns: Sequence[str], approximate: bool = Fa
     return table_profile(df.select(*columns)).select("column", "distinct_values")
 
 
+# 2^12 registers, 1.6 % standard error; 2^16 kept hashes, 0.4 %
+HLL_BITS = 12
+THETA_BITS = 16
+
+
+def write_key_sketches(df: DataFrame, columns: Sequence[str], path: str, part: str, replace: bool = True) -> str:
+    """Sketches of the distinct values of one part of a table (a slice), a row per column.
+
+    A sketch counts alone, united with those of other parts, or, the theta kind, cut with another table's. A part is
+    read once, when it comes; counts over all parts read the sketches only. Writing a part again replaces it.
+    """
+    values = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), _short(f"`{c}`").alias("value")) for c in columns])))
+    sketches = values.groupBy("column").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.hll_sketch_agg("value", F.lit(HLL_BITS)).alias("hll"),
+        F.theta_sketch_agg("value", F.lit(THETA_BITS)).alias("theta"),
+    )
+    writer = sketches.withColumn("part", F.lit(part)).write.partitionBy("part").option("partitionOverwriteMode", "dynamic")
+    writer.mode("overwrite" if replace else "append").parquet(path)
+    return path
+
+
+def distinct_from_sketches(sketches: DataFrame) -> DataFrame:
+    """(``column``, ``rows``, ``distinct_values``) over all parts of a table of :func:`write_key_sketches`."""
+    united = sketches.groupBy("column").agg(F.sum("rows").alias("rows"), F.hll_union_agg("hll").alias("hll"))
+    return united.select("column", "rows", F.hll_sketch_estimate("hll").alias("distinct_values"))
+
+
+def overlap_from_sketches(left: DataFrame, right: DataFrame, left_col: str, right_col: str) -> DataFrame:
+    """(``left_keys``, ``right_keys``, ``both``): distinct keys of two sketched tables, and those that both hold."""
+    one, two = (
+        df.filter(F.col("column") == c).agg(F.theta_union_agg("theta", F.lit(THETA_BITS)).alias(name))
+        for df, c, name in ((left, left_col, "l"), (right, right_col, "r"))
+    )
+    # two tables of one row each
+    counted = [("left_keys", F.col("l")), ("right_keys", F.col("r")), ("both", F.theta_intersection("l", "r"))]
+    return one.join(two).select(*[F.theta_sketch_estimate(sketch).alias(name) for name, sketch in counted])
+
+
 def table_profile(df: DataFrame) -> DataFrame:
     """One row per column: (column, type, rows, nulls, distinct_values).
 

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.functions.deident import salted_key
+from cohortloom.operators.connected import connected_components
 from cohortloom.operators.reshape import union_by_name
+from cohortloom.runtime import materialize
 
 KEY = "_blocking_key"
 
@@ -49,3 +51,23 @@ def assign_master_patient_id(
         "_source_name", "_source_patient_id", "master_patient_id", KEY
     )
     return linked.distinct() if dedupe else linked
+
+
+def link_by_any_key(*sources: tuple[DataFrame, str], keys: Sequence[str], salt: str) -> DataFrame:
+    """Lookup of (source, id in the source) to a master id shared by all records that some chain of equal keys joins.
+
+    Every source has ``_source_patient_id`` and the columns ``keys``, one per kind of key; a null key links nothing, and
+    keys of different kinds never meet. Records and keys form one graph with a link per record and key, so a key that a
+    great many records hold makes no pairs. The master id is a salted hash of the least key of the component (of the
+    record itself where it has none): it is the same on every rerun and does not depend on the order of the sources.
+    """
+    ids = ["_source_name", "_source_patient_id"]
+    held = union_by_name([(df.select("_source_patient_id", *keys), name) for df, name in sources], "_source_name")
+    own = F.concat_ws("\x1f", F.lit("record"), *[F.col(c).cast("string") for c in ids])
+    named = [F.concat(F.lit(f"key{i:03d}\x1f"), F.col(k).cast("string")) for i, k in enumerate(keys)]
+    records = materialize(held.select(*ids, own.alias("record"), F.array_compact(F.array(*named)).alias("held")), "records")
+    links = records.select("record", F.explode("held").alias("key"))
+    roots = connected_components(links, "record", "key")
+    joined = records.select(*ids, "record").distinct().join(roots.withColumnRenamed("node", "record"), "record", "left")
+    # kinds of keys sort before records, so a component's root is a key
+    return joined.withColumn("__root", F.coalesce("root", "record")).select(*ids, salted_key("__root", salt).alias("master_patient_id"))

@@ -10,6 +10,7 @@ from cohortloom import defaults
 from cohortloom.plans import clean, features, ingest
 from cohortloom.runtime import scratch_path
 from cohortloom.sources.layers import layer_path, scan_layer, write_bronze_slice
+from cohortloom.streaming.newest import follow_slices, newest_rows
 from suite import frames, scans
 from suite.registry import query, table
 from suite.relational import BURDEN_COLUMNS_SQL, _PATHWAY_OF
@@ -273,6 +274,22 @@ def clean_environmental(spark, sf):
     return scan_layer(spark, cleaned_environmental(spark, sf, lake(spark)))
 
 
+@query("stream_newest_readings", CLEAN_PM25_SQL)
+def stream_newest_readings(spark, sf):
+    """The same readings by a stream that runs after each slice and keeps the newest per key as state."""
+    readings, root = frames.readings(spark, sf), lake(spark)
+    bronze, newest, state = (layer_path(root, "bronze", "environmental_pm25"), *[scratch_path(spark, n) for n in ("newest", "state")])
+    key = [c for c in clean.READING_KEY if c in readings.columns]
+    older = readings.filter(F.col("date_local") <= OLD_DAY)
+    doubled = (F.col("arithmetic_mean").cast("double") * 2).cast("string")
+    write_bronze_slice(older.withColumn("arithmetic_mean", doubled), bronze, OLD_DAY)
+    follow_slices(spark, bronze, newest, state, key)
+    write_bronze_slice(readings.filter(F.col("date_local") >= NEW_FROM), bronze, DAY)
+    follow_slices(spark, bronze, newest, state, key)
+    rows = newest_rows(spark, bronze, newest)
+    return clean.clean_environmental_frame(rows, place_cols=("state_code", "county_code"), tie_cols=("event_id",))
+
+
 CLEAN_SEER_SQL = f"""
     select * exclude (patient_id_number) replace (
                case when cast(age_at_diagnosis as double) > 89 then 90 else cast(age_at_diagnosis as double) end

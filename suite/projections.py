@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.functions import columns, deident, encode
 from cohortloom.operators import contracts, inspect, linkage
+from cohortloom.runtime import materialize
 from suite import frames
 from suite.registry import query, table
 
@@ -216,10 +217,14 @@ def quarantine(spark, sf):
     return good.withColumn("passed", F.lit(True)).unionByName(bad.withColumn("passed", F.lit(False)))
 
 
-@query("sample_rows", "select * from region")
+@query("sample_rows", "select least(count(*), 50) as rows, true as distinct_rows, true as from_the_table from orders")
 def sample_rows(spark, sf):
-    """The sample's size is its feature; this table has as many rows."""
-    return inspect.sample_rows(table(spark, sf, "region"), 5)
+    """The sample's size is its feature: so many rows, each another one of the table."""
+    orders = table(spark, sf, "orders")
+    sample = materialize(inspect.sample_rows(orders, 50), "sample")
+    held = sample.join(orders, orders.columns, "left_semi").agg(F.count(F.lit(1)).alias("held"), F.count_distinct("o_orderkey").alias("keys"))
+    counted = sample.agg(F.count(F.lit(1)).alias("rows")).join(held)
+    return counted.select("rows", (F.col("keys") == F.col("rows")).alias("distinct_rows"), (F.col("held") == F.col("rows")).alias("from_the_table"))
 
 
 # --- de-identification
@@ -329,6 +334,47 @@ def assign_master_patient_id(spark, sf):
     return linkage.assign_master_patient_id(*sources, salt=frames.SALT)
 
 
+# orders of a customer share its number, orders of one day and clerk a second key; every third lacks that
+_LINKED_SQL = """
+    select 'orders' as _source_name, cast(o_orderkey as varchar) as id,
+           case when o_orderkey % 5 <> 0 then cast(o_custkey as varchar) || '/' || cast(o_orderkey % 200 as varchar) end as k0,
+           case when o_orderkey % 3 <> 0 then cast(cast(floor(o_totalprice / 20) as bigint) as varchar) end as k1 from orders
+    union all
+    select 'customer', cast(c_custkey as varchar), cast(c_custkey as varchar) || '/7', null from customer
+"""
+
+
+@query(
+    "link_by_any_key",
+    f"""
+    with recursive records as ({_LINKED_SQL}),
+    held as (
+        select _source_name || '/' || id as record, 'key000' || chr(31) || k0 as k from records where k0 is not null
+        union all
+        select _source_name || '/' || id, 'key001' || chr(31) || k1 from records where k1 is not null),
+    pairs as (select distinct a.k as a, b.k as b from held as a join held as b using (record)),
+    reached as (select distinct k as node, k as root from held union select p.b, r.root from reached as r join pairs as p on p.a = r.node),
+    least as (select node, min(root) as root from reached group by node)
+    select _source_name, id as _source_patient_id,
+           sha256(coalesce((select min(root) from held join least on node = k where record = _source_name || '/' || id),
+                           'record' || chr(31) || _source_name || chr(31) || id) || '{frames.SALT}') as master_patient_id
+    from records
+    """,
+)
+def link_by_any_key(spark, sf):
+    orders = table(spark, sf, "orders").select(
+        F.col("o_orderkey").cast("string").alias("_source_patient_id"),
+        F.when(F.col("o_orderkey") % 5 != 0, F.concat_ws("/", "o_custkey", F.col("o_orderkey") % 200)).alias("k0"),
+        F.when(F.col("o_orderkey") % 3 != 0, F.floor(F.col("o_totalprice") / 20).cast("string")).alias("k1"),
+    )
+    customers = table(spark, sf, "customer").select(
+        F.col("c_custkey").cast("string").alias("_source_patient_id"),
+        F.concat(F.col("c_custkey"), F.lit("/7")).alias("k0"),
+        F.lit(None).cast("string").alias("k1"),
+    )
+    return linkage.link_by_any_key((orders, "orders"), (customers, "customer"), keys=["k0", "k1"], salt=frames.SALT)
+
+
 # --- encoders
 
 _RANKS = "map(['0','I','IA','IB','II','IIA','IIB','III','IIIA','IIIB','IIIC','IV'], [0,1,2,3,4,5,6,7,8,9,10,11])"

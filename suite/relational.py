@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from cohortloom import defaults
 from cohortloom.operators import genomic, joins, missing, ordered, outliers, quantiles, reshape
 from cohortloom.operators import inspect as inspection
-from cohortloom.operators.fuse import fuse_modalities
+from cohortloom.operators.fuse import bucket_modalities, fuse_bucketed, fuse_modalities
+from cohortloom.runtime import scratch_path
 from cohortloom.sources.lookups import gene_pathways
 from suite import frames
 from suite.projections import GAPS_SQL, with_gaps
@@ -128,6 +129,20 @@ def fuse(spark, sf):
     return fused.withColumns({c: F.col(c).cast("double") for c in ("spending_n", "activity_n")})
 
 
+@query(
+    "fuse_bucketed",
+    f"""
+    select id, cast(s.n as double) as spending_n, largest, c_acctbal, cast(v.n as double) as activity_n, peak, coalesce(s.has, false) as has_spending_data,
+           coalesce(a.has, false) as has_account_data, coalesce(v.has, false) as has_activity_data
+    from {_SPENDING} as s full outer join {_ACCOUNT} as a using (id) full outer join {_ACTIVITY} as v using (id)
+    """,
+)
+def fuse_bucketed_(spark, sf):
+    blocks = bucket_modalities(dict(zip(("spending", "account", "activity"), _modalities(spark, sf))), "id")
+    fused = fuse_bucketed(blocks, "id")
+    return fused.withColumns({c: F.col(c).cast("double") for c in ("spending_n", "activity_n")})
+
+
 @query(
     "semi_join_isin",
     """
@@ -328,6 +343,60 @@ def distinct_count(spark, sf):
     return inspection.distinct_count(table(spark, sf, "lineitem"), ["l_partkey", "l_suppkey", "l_returnflag"])
 
 
+def sketched(spark, sf, name, columns, slices):
+    """A table's sketches, written slice by slice; the first slice is written twice."""
+    path = scratch_path(spark, "sketches")
+    rows = table(spark, sf, name)
+    for part in [*range(slices), 0]:
+        some = rows.filter(F.pmod(F.xxhash64(columns[0]), F.lit(slices)) == part)
+        inspection.write_key_sketches(some, columns, path, str(part))
+    return spark.read.parquet(path)
+
+
+@query(
+    "distinct_from_sketches",
+    """
+    select unnest(['l_partkey', 'l_suppkey', 'l_orderkey']) as column, count(*) as rows,
+           unnest([count(distinct l_partkey), count(distinct l_suppkey), count(distinct l_orderkey)]) as distinct_values,
+           true as within from lineitem
+    """,
+)
+def distinct_from_sketches(spark, sf):
+    """Distinct values from sketches of four slices, each within five standard errors of the exact number."""
+    columns = ["l_partkey", "l_suppkey", "l_orderkey"]
+    found = inspection.distinct_from_sketches(sketched(spark, sf, "lineitem", columns, 4))
+    exact = inspection.distinct_count(table(spark, sf, "lineitem"), columns)
+    near = F.abs(F.col("s.distinct_values") - F.col("e.distinct_values")) <= 0.08 * F.col("e.distinct_values")
+    both = found.alias("s").join(exact.alias("e"), "column")
+    return both.select("column", "rows", F.col("e.distinct_values").alias("distinct_values"), near.alias("within"))
+
+
+@query(
+    "overlap_from_sketches",
+    """
+    with k as (select distinct l_suppkey * 7 as k from lineitem), o as (select distinct o_custkey as k from orders)
+    select (select count(*) from k) as left_keys, (select count(*) from o) as right_keys,
+           (select count(*) from k join o using (k)) as both, true as within
+    """,
+)
+def overlap_from_sketches(spark, sf):
+    """Keys of two tables, and those of both, from their sketches; each is near the exact number."""
+    path = scratch_path(spark, "sketches")
+    supplied = table(spark, sf, "lineitem").select((F.col("l_suppkey") * 7).alias("k"))
+    ordered = table(spark, sf, "orders").select(F.col("o_custkey").alias("k"))
+    left = spark.read.parquet(inspection.write_key_sketches(supplied, ["k"], f"{path}/left", "all"))
+    right = spark.read.parquet(inspection.write_key_sketches(ordered, ["k"], f"{path}/right", "all"))
+    found = inspection.overlap_from_sketches(left, right, "k", "k")
+    one, two = supplied.distinct(), ordered.distinct()
+    exact = one.agg(F.count("k").alias("l")).join(two.agg(F.count("k").alias("r"))).join(one.join(two, "k").agg(F.count("k").alias("b")))
+    near = (
+        (F.abs(F.col("left_keys") - F.col("l")) <= 0.02 * F.col("l"))
+        & (F.abs(F.col("right_keys") - F.col("r")) <= 0.02 * F.col("r"))
+        & (F.abs(F.col("both") - F.col("b")) <= 0.02 * (F.col("l") + F.col("r")))
+    )
+    return found.join(exact).select(F.col("l").alias("left_keys"), F.col("r").alias("right_keys"), F.col("b").alias("both"), near.alias("within"))
+
+
 @query("table_profile", _profile_sql("customer", _CUSTOMER, True))
 def table_profile(spark, sf):
     return inspection.table_profile(table(spark, sf, "customer"))

@@ -167,9 +167,9 @@ def guard_min_groups_(spark, sf):
     return guard_min_groups(counts, "file_id", 5).groupBy("file_id").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query("guard_not_empty", "select r_regionkey, r_name from region")
+@query("guard_not_empty", "select o_orderkey, o_orderstatus from orders")
 def guard_not_empty_(spark, sf):
-    return guard_not_empty(table(spark, sf, "region"))
+    return guard_not_empty(table(spark, sf, "orders").select("o_orderkey", "o_orderstatus"))
 
 
 @query("scan_fixed_width", frames.REGISTRY_SQL)
