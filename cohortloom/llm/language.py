@@ -21,8 +21,10 @@ from cohortloom.llm.text import bounded_batches, chunks, code_points, mixed, str
 from cohortloom.runtime import materialize
 
 BUCKETS = 1 << 15
-MIN_TRIGRAMS = 10_000
-SMOOTHING = 0.1
+# shares of a language's trigrams that come from all languages, and of those that come from nowhere
+POOLED, ANYWHERE = 0.1, 0.1
+# share of the rows of a language that may declare anything, or stand under any suffix
+STRAY = 0.02
 # neighbouring trigrams share letters, so a letter counts once
 TEMPER = 1 / 3
 CONFIDENT = 0.9
@@ -114,39 +116,36 @@ def _count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 class TextModel:
     """Log probabilities of the trigram buckets under each language, and under none of them at last.
 
-    Only counted buckets are held per language, so that languages with little text cost little. A language with fewer
-    than ``min_trigrams`` trigrams has half of its smoothing drawn from the counts of all languages.
+    Every language is its own shares of the buckets, shrunk towards those of all languages, and these towards even
+    shares, by fixed parts: a table that repeats every row has the same model. Only counted buckets are held per
+    language, so that languages with little text cost little.
     """
 
-    def __init__(self, counts: dict[str, tuple[np.ndarray, np.ndarray]], min_trigrams: int):
+    def __init__(self, counts: dict[str, tuple[np.ndarray, np.ndarray]]):
         self.languages = sorted(counts)
-        sizes = {name: int(n.sum()) for name, (_, n) in counts.items()}
-        self.sparse = [name for name in self.languages if sizes[name] < min_trigrams]
         pool = np.zeros(BUCKETS)
         for at, n in counts.values():
             pool[at] += n
-        flat = np.full(BUCKETS, SMOOTHING)
-        shrunk = (flat + SMOOTHING * BUCKETS * pool / max(1.0, pool.sum())) / 2
-        # 0 for languages with enough text, 1 for those without
-        self.bases = np.log(np.stack([flat, shrunk]))
+        shared = POOLED * ((1 - ANYWHERE) * pool / max(1.0, pool.sum()) + ANYWHERE / BUCKETS)
+        self.base = np.log(shared).astype(np.float32)
         self.rows = []
         for name in self.languages:
-            (at, n), kind = counts[name], int(sizes[name] < min_trigrams)
-            total = math.log(sizes[name] + SMOOTHING * BUCKETS)
-            self.rows.append((kind, total, at.astype(np.int32), (np.log((shrunk if kind else flat)[at] + n) - total).astype(np.float32)))
+            at, n = counts[name]
+            own = (1 - POOLED) * n / n.sum() + shared[at]
+            self.rows.append((at.astype(np.int32), np.log(own).astype(np.float32)))
 
     def __len__(self) -> int:
         return len(self.rows) + 1
 
     def __iter__(self) -> Iterator[np.ndarray]:
-        for kind, total, at, values in self.rows:
-            row = (self.bases[kind] - total).astype(np.float32)
+        for at, values in self.rows:
+            row = self.base.copy()
             row[at] = values
             yield row
         yield np.full(BUCKETS, -math.log(BUCKETS), np.float32)
 
 
-def fit_text_model(labeled: DataFrame, min_trigrams: int) -> TextModel:
+def fit_text_model(labeled: DataFrame) -> TextModel:
     """The model of all declared languages that have a trigram of text.
 
     All labeled rows count. What reaches the driver are at most 32,768 sums a language.
@@ -158,7 +157,7 @@ def fit_text_model(labeled: DataFrame, min_trigrams: int) -> TextModel:
         .toPandas()
     )
     counts = {name: (c["bucket"].to_numpy(), c["n"].to_numpy()) for name, c in counted.groupby("label")}
-    return TextModel(counts, min_trigrams)
+    return TextModel(counts)
 
 
 def _likelihoods(df: DataFrame, carried: Sequence[str], logs: TextModel) -> DataFrame:
@@ -203,11 +202,10 @@ def _tally(rows: DataFrame, by: str, n: int) -> DataFrame:
 
 
 def _given_language(tally: DataFrame, by: str, name: str, totals: list[float]) -> DataFrame:
-    """log P(value | language) of every value of ``by``, smoothed by one row spread over the values."""
+    """log P(value | language) of every value of ``by``: its share of the language's rows, shrunk towards even shares."""
     values = max(1, tally.count())
-    at = F.transform(
-        "counts", lambda c, i: F.log((c + 1.0 / values) / (F.get(F.array(*[F.lit(t + 1.0) for t in totals]), i)))
-    )
+    share = lambda c, i: c / F.greatest(F.get(F.array(*[F.lit(t) for t in totals]), i), F.lit(1.0))
+    at = F.transform("counts", lambda c, i: F.log((1 - STRAY) * share(c, i) + STRAY / values))
     return tally.select(by, at.alias(name))
 
 
@@ -243,16 +241,15 @@ def identify_languages(
     host: Column,
     carry: Sequence[str] | None = None,
     min_confidence: float = MIN_CONFIDENCE,
-    min_trigrams: int = MIN_TRIGRAMS,
 ) -> DataFrame:
     """The carried columns (all by default) with ``language``, ``confidence`` and ``accepted``.
 
     ``text``, ``declared`` (a language tag) and ``host`` are expressions over ``df``; a null one is no evidence. The
-    languages are all declared ones that have a trigram of text. One with fewer than ``min_trigrams`` has too little text
-    to be refuted by: a row with letters that declares it is accepted, and keeps it as its language unless one with enough
-    text has a posterior of at least 0.9. ``und`` stands for none of them: for texts that a uniform model explains better than any language,
-    and, with confidence 0, for texts without letters, null and empty ones included. Any other row is accepted if its language
-    is not ``und`` and its posterior is at least ``min_confidence``. Ties go to the first language by name.
+    languages are all declared ones that have a trigram of text, however little: one rule holds for all, and nothing but
+    the posterior decides. ``und`` stands for none of them: for texts that a uniform model explains better than any
+    language, and, with confidence 0, for texts without letters, null and empty ones included. Any other row is accepted
+    if its language is not ``und`` and its posterior is at least ``min_confidence``. Ties go to the first language by
+    name.
 
     Repeated rows are judged alike. An empty table gives no rows; a table that declares no language accepts none.
     Columns named like the added ones are replaced. Counts cover all rows. No text is shuffled unless the table of
@@ -267,7 +264,7 @@ def identify_languages(
         F.lower(host.cast("string")).alias("__host"),
     )
     kept = [f"__c{i}" for i in range(len(carried))]
-    logs = fit_text_model(ready.filter("__declared is not null").select("__declared", "__text"), min_trigrams)
+    logs = fit_text_model(ready.filter("__declared is not null").select("__declared", "__text"))
     languages = logs.languages
     n = len(languages) + 1
     evidence = ["__declared", "__host"]
@@ -283,7 +280,7 @@ def identify_languages(
     sure = materialize(sure, "sure")
     seen = {r[0]: float(r[1]) for r in sure.groupBy("__lang").count().collect()}
     totals = [seen.get(i, 0.0) for i in range(n)]
-    overall = [(t + 1.0) / (sum(totals) + n) for t in totals]
+    overall = [(1 - STRAY) * t / max(1.0, sum(totals)) + STRAY / n for t in totals]
     tallies = {by: _tally(sure, by, n) for by in ("__declared", "__suffix", "__domain", "__host")}
     said = materialize(_given_language(tallies["__declared"], "__declared", "said_log", totals), "said")
     ended = materialize(_given_language(tallies["__suffix"], "__suffix", "suffix_log", totals), "ended")
@@ -303,19 +300,9 @@ def identify_languages(
     final = final.withColumn("__post", _posterior(fused)).withColumn("confidence", F.array_max("__post"))
     names = F.array(*[F.lit(x) for x in [*languages, UNKNOWN]])
     found = F.element_at(names, F.array_position("__post", F.col("confidence")).cast("int"))
-    # a declared language with little text is kept unless one with enough text is sure
-    few, at = F.lit(False), F.lit(None).cast("int")
-    if logs.sparse:
-        said = F.col("__declared").isin(logs.sparse)
-        few = F.coalesce(said & F.col("confidence").isNotNull(), F.lit(False))
-        sure = (F.col("confidence") >= CONFIDENT) & (found != UNKNOWN) & ~found.isin(logs.sparse)
-        at = F.when(few & ~sure, F.array_position(names, F.col("__declared")).cast("int"))
-    believed = F.get(F.col("__post"), at - 1)
-    language = F.coalesce(F.when(at.isNotNull(), F.col("__declared")), found)
-    confidence = F.coalesce(believed, F.col("confidence"), F.lit(0.0))
     return final.select(
         *[F.col(k).alias(c) for k, c in zip(kept, carried)],
-        F.coalesce(language, F.lit(UNKNOWN)).alias("language"),
-        confidence.alias("confidence"),
-        (few | F.coalesce((found != UNKNOWN) & (F.col("confidence") >= min_confidence), F.lit(False))).alias("accepted"),
+        F.coalesce(found, F.lit(UNKNOWN)).alias("language"),
+        F.coalesce("confidence", F.lit(0.0)).alias("confidence"),
+        F.coalesce((found != UNKNOWN) & (F.col("confidence") >= min_confidence), F.lit(False)).alias("accepted"),
     )

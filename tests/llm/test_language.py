@@ -71,22 +71,24 @@ def rows():
 SCHEMA = "doc_id long, text string, lang string, source string, true string, language string"
 
 
-def brute(data, min_trigrams):
+def brute(data):
     """The same fusion, row by row."""
     subtag = lambda d: d.split("-")[0].lower() if d and d.split("-")[0].isalpha() and 2 <= len(d.split("-")[0]) <= 3 else None
     counts = defaultdict(Counter)
     for _, text, declared, _, _ in data:
         if subtag(declared):
             counts[subtag(declared)].update(plain_trigrams(text or ""))
-    langs = sorted(k for k, c in counts.items() if sum(c.values()) >= min_trigrams)
+    langs = sorted(k for k, c in counts.items() if c)
     n = len(langs) + 1
-    totals = [sum(counts[k].values()) + L.SMOOTHING * L.BUCKETS for k in langs]
+    totals = {k: sum(counts[k].values()) for k in langs}
+    pool = sum(counts.values(), Counter())
+    everywhere = lambda g: 0.9 * pool[g] / sum(totals.values()) + 0.1 / L.BUCKETS
 
     def likelihood(text):
         grams = plain_trigrams(text or "")
         if not grams:
             return None
-        each = [sum(math.log((counts[k][g] + L.SMOOTHING) / t) for g in grams) for k, t in zip(langs, totals)]
+        each = [sum(math.log(0.9 * counts[k][g] / totals[k] + 0.1 * everywhere(g)) for g in grams) for k in langs]
         return np.array([*each, -len(grams) * math.log(L.BUCKETS)]) * L.TEMPER
 
     def normal(x):
@@ -105,7 +107,8 @@ def brute(data, min_trigrams):
             for name, value in (("said", subtag(declared)), ("suffix", suffix(host)), ("domain", host and parent(host)), ("host", host)):
                 if value is not None:
                     by[name][value][k] += 1
-    overall = (seen + 1) / (seen.sum() + n)
+    overall = 0.98 * seen / max(1, seen.sum()) + 0.02 / n
+    share = lambda counted, values: 0.98 * counted / np.maximum(seen, 1) + 0.02 / values
     out = []
     for (_, _, declared, host, _), ll in zip(data, lls):
         if ll is None:
@@ -113,7 +116,7 @@ def brute(data, min_trigrams):
             continue
         score = ll.copy()
         if subtag(declared) in by["said"]:
-            score += np.log((by["said"][subtag(declared)] + 1 / len(by["said"])) / (seen + 1))
+            score += np.log(share(by["said"][subtag(declared)], len(by["said"])))
         weight, prior = 1.0, overall
         if host in by["host"]:
             c, d = by["host"][host], by["domain"][parent(host)]
@@ -121,14 +124,14 @@ def brute(data, min_trigrams):
             prior = (c + L.HOST_STRENGTH * above) / (c.sum() + L.HOST_STRENGTH)
             weight = L.HOST_STRENGTH / (c.sum() + L.HOST_STRENGTH)
         if suffix(host) in by["suffix"]:
-            score += weight * np.log((by["suffix"][suffix(host)] + 1 / len(by["suffix"])) / (seen + 1))
+            score += weight * np.log(share(by["suffix"][suffix(host)], len(by["suffix"])))
         p = normal(score + np.log(prior))
         out.append(([*langs, L.UNKNOWN][int(p.argmax())], float(p.max())))
     return out
 
 
 def identified(df, **settings):
-    return L.identify_languages(df, F.col("text"), F.col("lang"), F.col("source"), min_trigrams=200, **settings)
+    return L.identify_languages(df, F.col("text"), F.col("lang"), F.col("source"), **settings)
 
 
 def test_fusion(spark):
@@ -136,7 +139,7 @@ def test_fusion(spark):
     df = spark.createDataFrame([(*r, "clash") for r in data], SCHEMA)
     got = identified(df.repartition(3), carry=["doc_id", "true"]).collect()
     wanted = defaultdict(list)
-    for r, w in zip(data, brute(data, 200)):
+    for r, w in zip(data, brute(data)):
         wanted[r[0]].append(w)
     assert len(got) == len(data)
     for r in got:
@@ -157,7 +160,7 @@ def test_nothing_to_learn_from(spark):
 
 
 def test_languages_with_little_text(spark):
-    """Far below 10,000 trigrams, with the defaults."""
+    """Some words a language, and more than fifteen languages."""
     data = [(i, " ".join(WORDS[k]), k) for i, k in enumerate(WORDS)]
     data += [(10, "ქართული ენა და ანბანი", "ka"), (11, " ".join(WORDS["de"][3:12]), None), (12, "12 !!", "ka"), (13, "ʘʘʘ ꙮꙮꙮ", None)]
     data += [(100 + i, f"{'abcdefghij'[i % 10] * 3}{chr(0x4E00 + i) * 4} words", f"{chr(97 + i // 26)}{chr(97 + i % 26)}x") for i in range(12)]
@@ -170,6 +173,21 @@ def test_languages_with_little_text(spark):
     assert got[11].language == "de" and not got[12].accepted and got[12].language == "und" and not got[13].accepted
 
 
+def test_repeating_a_table_changes_nothing(spark):
+    """The same rows once and thirty times, an odd one among them: the same answers, whatever the number of rows."""
+    data = [(i, text, declared) for i, text, declared, _, _ in rows()[:60]]
+    data += [(900, "qzxjk vqzxw zzkqj wvvxq", "de"), (901, "ქართული ენა და ანბანი", "ka"), (902, "the and of that der", "de"), (903, "qq", "en")]
+    once = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    often = once.crossJoin(spark.range(30).drop("id"))
+    judged = lambda df: L.identify_languages(df, F.col("text"), F.col("lang"), F.lit(None), carry=["doc_id"]).distinct().collect()
+    one, many = ({r.doc_id: r for r in judged(df)} for df in (once, often))
+    assert len(one) == len(many) == len({d[0] for d in data})
+    for doc, r in one.items():
+        assert (many[doc].language, many[doc].accepted) == (r.language, r.accepted)
+        assert many[doc].confidence == pytest.approx(r.confidence, abs=1e-6)
+    assert one[901].language == "ka" and one[901].accepted
+
+
 def test_held_out_accuracy(spark):
     """Documents whose declaration is withheld are told from the rest."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
