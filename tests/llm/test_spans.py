@@ -91,6 +91,30 @@ def literals(text):
         ('VALUE = "aB3dE5fG7hJ9"\nOTHER = VALUE\nconnect(password=OTHER)', ["aB3dE5fG7hJ9"]),
         # its literal is harmless where it stays
         ('VALUE = "aB3dE5fG7hJ9"\nprint(VALUE)', []),
+        # assigned after its use, joined from parts, and both
+        ('connect(password=KEY_A)\nKEY_A = "aB3dE5fG7hJ9"', ["aB3dE5fG7hJ9"]),
+        ('token = "abc" + "def123XYZ9"', ["abc", "def123XYZ9"]),
+        ('token = PRE + "def123XYZ9"\nPRE = "sk_"', ["def123XYZ9", "sk_"]),
+        ('api_key = ("abc" "def123XYZ9")', []),
+        ('api_key = "abc" \\\n  "def123XYZ9"', ["abc", "def123XYZ9"]),
+        ('password = A\nA = B\nB = A', []),
+        # other syntaxes
+        ('TOKEN = """\naB3dE5fG7hJ9\n"""', ["\naB3dE5fG7hJ9\n"]),
+        ("password: |\n  aB3dE5fG7hJ9\n  zweite\nnext: x\n", ["aB3dE5fG7hJ9\n  zweite"]),
+        ("- secret: >-\n    aB3dE5fG7hJ9", ["aB3dE5fG7hJ9"]),
+        ("<password>aB3dE5fG7hJ9</password>", ["aB3dE5fG7hJ9"]),
+        ('<cfg:clientSecret type="x"> aB3dE5fG7hJ9 </cfg:clientSecret>', ["aB3dE5fG7hJ9"]),
+        ('<add key="Password" value="aB3dE5fG7hJ9"/>', ["aB3dE5fG7hJ9"]),
+        ("<p value='aB3dE5fG7hJ9' name='db.secret' />", ["aB3dE5fG7hJ9"]),
+        ('<add key="Title" value="aB3dE5fG7hJ9"/>', []),
+        ("auth: Bearer aB3dE5fG7hJ9", ["aB3dE5fG7hJ9"]),
+        ("Authorization: Basic dXNlcjpwYXNz", ["dXNlcjpwYXNz"]),
+        ('pwd("aB3dE5fG7hJ9")', ["aB3dE5fG7hJ9"]),
+        ('conf.put("db.password", "aB3dE5fG7hJ9")', ["aB3dE5fG7hJ9"]),
+        ('get_secret("prod/aB3dE5fG7")', []),
+        ('passphrase = "correct horse battery staple"', ["correct horse battery staple"]),
+        ('password_label: "please enter your new password"', []),
+        ('"password": "this must not be empty here"', []),
         ('password = "changeme"', []),
         ("password = get_password()", []),
         ('password_file = "/etc/aB3dE5fG7"', []),
