@@ -278,6 +278,50 @@ def quantiles_grouped(spark, sf):
     return quantiles.quantiles_grouped(table(spark, sf, "events"), "value", ["event_type"])
 
 
+@query(
+    "quantiles_grouped_approx",
+    """
+    select event_type, p, true as within
+    from (select distinct event_type from events) cross join (values (0.25), (0.5), (0.75)) as v(p)
+    """,
+)
+def quantiles_grouped_approx(spark, sf):
+    """The sketch path: the rank of every value it gives lies within the sketch's bound of the wanted one."""
+    events = table(spark, sf, "events").select("event_type", "value")
+    probs, names = [0.25, 0.5, 0.75], ["q1", "median", "q3"]
+    found = quantiles.quantiles_grouped(events, "value", ["event_type"], probs, names, method="approx")
+    long = found.select("event_type", F.explode(F.arrays_zip(F.array(*map(F.lit, probs)).alias("p"), F.array(*names).alias("q"))).alias("x"))
+    ranks = events.filter("value is not null").join(long, "event_type").groupBy("event_type", "x.p").agg(
+        F.avg((F.col("value") < F.col("x.q")).cast("double")).alias("below"), F.avg((F.col("value") <= F.col("x.q")).cast("double")).alias("upto")
+    )
+    bound = 2.0 / quantiles.SKETCH_ACCURACY
+    within = (F.col("below") <= F.col("p") + bound) & (F.col("upto") >= F.col("p") - bound)
+    return ranks.select("event_type", F.col("p").cast("double").alias("p"), within.alias("within"))
+
+
+_SKETCH_BOUND = 2.0 / 10_000
+
+
+@query(
+    "cap_iqr_approx",
+    "select l_returnflag, count(*) as rows, true as within from lineitem group by 1",
+)
+def cap_iqr_approx(spark, sf):
+    """Caps by sketched fences: every capped value lies between the fences that exact quantiles at the bound's ends give."""
+    lines = table(spark, sf, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", F.col("l_extendedprice").alias("v"), F.col("l_extendedprice").alias("given"))
+    capped = outliers.cap_iqr(lines, ["v"], ["l_returnflag"], method="approx")
+    ends = [p + side * _SKETCH_BOUND for p in (0.25, 0.75) for side in (-1, 1)]
+    exact = quantiles.quantiles_grouped(lines, "given", ["l_returnflag"], ends, ["a0", "a1", "b0", "b1"], method="exact")
+    both = capped.join(exact, "l_returnflag")
+    low = F.col("a0") - 1.5 * (F.col("b1") - F.col("a0"))
+    high = F.col("b1") + 1.5 * (F.col("b1") - F.col("a0"))
+    inner_low, inner_high = F.col("a1") - 1.5 * (F.col("b0") - F.col("a1")), F.col("b0") + 1.5 * (F.col("b0") - F.col("a1"))
+    # inside the narrowest fences nothing moves, outside the widest nothing stays
+    kept = ~F.col("given").between(inner_low, inner_high) | (F.col("v") == F.col("given"))
+    fits = kept & F.col("v").between(low - 1e-6, high + 1e-6)
+    return both.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("rows"), F.every(fits).alias("within"))
+
+
 @query(
     "quantiles_global",
     """
