@@ -1,11 +1,12 @@
 """What records, slices and tables share: chains of keys, sketches, buckets, state, and one read of raw files."""
 
+import math
 import random
 
 import pytest
 
 from cohortloom.functions import deident
-from cohortloom.operators import contracts, fuse, inspect, linkage
+from cohortloom.operators import contracts, fuse, inspect, linkage, slice_quantiles
 from cohortloom.operators.connected import connected_components
 from cohortloom.plans import clean, ingest
 from cohortloom.sources import delimited, layers, records
@@ -165,3 +166,38 @@ def test_stream_of_newest_readings(spark, scratch):
     assert sorted(newest_rows(spark, bronze, f"{scratch}/newest").collect(), key=str) == wanted
     with pytest.raises(ValueError):
         follow_slices(spark, bronze, f"{scratch}/n", f"{scratch}/s", ["site_num"])
+
+
+@pytest.mark.parametrize("margin,k,step", [(0.01, 1024, 1000), (1e-5, 8, 7)])
+def test_quantiles_of_slices(spark, scratch, monkeypatch, margin, k, step):
+    monkeypatch.setattr(slice_quantiles, "MARGIN", margin)
+    monkeypatch.setattr(slice_quantiles, "KLL_K", k)
+    monkeypatch.setattr(slice_quantiles, "STEP", step)
+    draw = random.Random(8)
+    rows = []
+    for part in range(3):
+        for _ in range(700):
+            group = draw.choice(["a", "b", None])
+            # slices drift, values repeat, and one group is one value a third of the time
+            value = 5.0 if group == "b" and draw.random() < 0.3 else round(draw.gauss(10 * part, 8), draw.choice([0, 2]))
+            rows.append((part, group, draw.choice([value] * 20 + [None, float("nan")])))
+    rows += [(2, "late", 1.0), (2, "late", 3.0), (0, "none", None)]
+    df = spark.createDataFrame(rows, "part int, g string, v double")
+    for part in (0, 1, 2, 1):
+        slice_quantiles.write_rank_slice(df.filter(f"part = {part}"), "v", ["g"], f"{scratch}/r", str(part))
+    probs, names = [0.0, 0.1, 0.5, 0.99, 1.0], list("pqrst")
+    tables = [spark.read.parquet(f"{scratch}/r/{name}") for name in ("sketches", "ranks")]
+    got = {r["g"]: tuple(r)[1:] for r in slice_quantiles.quantiles_of_slices(*tables, ["g"], probs, names).collect()}
+    plain = {}
+    for _, g, v in rows:
+        if v is not None and v == v:
+            plain.setdefault(g, []).append(v)
+    wanted = {g: tuple(sorted(vs)[max(math.ceil(p * len(vs)), 1) - 1] for p in probs) for g, vs in plain.items()}
+    assert got == wanted
+    whole = f"{scratch}/w"
+    for part in range(3):
+        slice_quantiles.write_rank_slice(df.filter(f"part = {part}"), "v", [], whole, str(part))
+    tables = [spark.read.parquet(f"{whole}/{name}") for name in ("sketches", "ranks")]
+    everything = sorted(v for vs in plain.values() for v in vs)
+    row = slice_quantiles.quantiles_of_slices(*tables, [], [0.5], ["m"]).first()
+    assert row["m"] == everything[math.ceil(len(everything) / 2) - 1]
