@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.operators.binning import MISSING, code_matrix, coded, coded_rows, feature_cuts, numeric
+from cohortloom.operators.binning import MISSING, coded, coded_rows, feature_cuts, numeric
 from cohortloom.runtime import materialize
 
 # Forest parameters.

@@ -1,5 +1,9 @@
 """Every registered query against its SQL; the ones without SQL must give rows."""
 
+import os
+import subprocess
+import sys
+
 import pytest
 
 import __spark_entry__
@@ -38,3 +42,10 @@ def test_all_are_registered():
 
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() == 1500
+
+
+def test_without_the_packages_of_the_training_data_part():
+    code = "import sys; sys.modules['zstandard'] = None; import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    root = os.path.dirname(os.path.abspath(__spark_entry__.__file__))
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True)
+    assert [int(n) for n in done.stdout.split()] == [len(QUERIES), len(ORACLES)]
