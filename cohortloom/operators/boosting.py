@@ -30,6 +30,8 @@ MIN_GAIN = 1e-6
 TIE_DIGITS = 10
 # cells that one task may hold; up to these all rounds are one task's, beyond them each level is a job
 TASK_CELLS = 1 << 16
+TASK_CODES = 1 << 24  # codes of all cells and features together that it may hold
+HISTOGRAM_BYTES = 1 << 26  # sums that a task holds at once; a wide table is summed some features at a time
 ROUNDS_PER_TABLE = 10
 _CODES = 256
 _SPLIT = "node int, gain double, feature int, cut int, missing_left boolean, gl double, hl double, gr double, hr double"
@@ -88,19 +90,27 @@ def _weights(n: np.ndarray, y: np.ndarray, score: np.ndarray) -> tuple[np.ndarra
     return n * p - y, n * p * (1 - p)
 
 
-def _histograms(codes: np.ndarray, nodes: np.ndarray, wanted: Sequence[int], g: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Sums of g and h by feature, wanted node and code."""
+def _histograms(
+    codes: np.ndarray, nodes: np.ndarray, wanted: Sequence[int], g: np.ndarray, h: np.ndarray, features: Sequence[int]
+) -> np.ndarray:
+    """Sums of g and h by feature (of those given), wanted node and code."""
     place = np.full(int(nodes.max(initial=0)) + 1, -1)
     known = [w for w in wanted if w < len(place)]
     place[known] = [list(wanted).index(w) for w in known]
     own = place[nodes]
     rows = np.flatnonzero(own >= 0)
     size = len(wanted) * _CODES
-    out = np.zeros((codes.shape[1], 2, size))
-    for f in range(codes.shape[1]):
+    out = np.zeros((len(features), 2, size))
+    for i, f in enumerate(features):
         at = own[rows] * _CODES + codes[rows, f]
-        out[f, 0], out[f, 1] = (np.bincount(at, w[rows], size) for w in (g, h))
-    return out.reshape(codes.shape[1], 2, len(wanted), _CODES)
+        out[i, 0], out[i, 1] = (np.bincount(at, w[rows], size) for w in (g, h))
+    return out.reshape(len(features), 2, len(wanted), _CODES)
+
+
+def _feature_blocks(width: int, nodes: int) -> list[range]:
+    """The features in runs whose sums over so many nodes a task can hold."""
+    block = max(1, HISTOGRAM_BYTES // (nodes * _CODES * 16))
+    return [range(low, min(low + block, width)) for low in range(0, width, block)]
 
 
 def _best_split(feature: int, node: int, g: np.ndarray, h: np.ndarray) -> Split:
@@ -154,8 +164,11 @@ def _fit_in_task(codes: np.ndarray, n: np.ndarray, y: np.ndarray, start: float,
         g, h = _weights(n, y, score)
 
         def best_splits(tree, level, g=g, h=h):
-            sums = _histograms(codes, tree.nodes(codes), level, g, h)
-            return _better([_best_split(f, node, *sums[f, :, k]) for f in range(len(sums)) for k, node in enumerate(level)])
+            nodes, found = tree.nodes(codes), []
+            for features in _feature_blocks(codes.shape[1], len(level)):
+                sums = _histograms(codes, nodes, level, g, h, features)
+                found += [_best_split(f, node, *sums[i, :, k]) for i, f in enumerate(features) for k, node in enumerate(level)]
+            return _better(found)
 
         trees.append(_grow(depth, eta, best_splits))
         score += trees[-1].values(codes)
@@ -169,17 +182,17 @@ def _cells_of(batch: pa.RecordBatch, width: int, recent: Sequence[Tree]) -> tupl
     return codes, n.astype(np.float64), y.astype(np.float64), score + sum((t.values(codes) for t in recent), np.zeros(len(codes)))
 
 
-def _summed(width: int, recent: Sequence[Tree], tree: Tree, level: Sequence[int]):
-    """A task's histograms, a row per feature."""
+def _summed(width: int, recent: Sequence[Tree], tree: Tree, level: Sequence[int], features: Sequence[int]):
+    """A task's histograms of some features, a row each."""
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
         for batch in batches:
             codes, n, y, score = _cells_of(batch, width, recent)
-            sums = _histograms(codes, tree.nodes(codes), level, *_weights(n, y, score))
+            sums = _histograms(codes, tree.nodes(codes), level, *_weights(n, y, score), features)
             total = sums if total is None else total + sums
-        for f in range(0 if total is None else width):
-            yield pa.RecordBatch.from_arrays([pa.array([f], pa.int32()), pa.array([total[f].tobytes()], pa.binary())], ["feature", "sums"])
+        for f, own in zip(features, () if total is None else total):
+            yield pa.RecordBatch.from_arrays([pa.array([f], pa.int32()), pa.array([own.tobytes()], pa.binary())], ["feature", "sums"])
 
     return summed
 
@@ -232,9 +245,12 @@ def _fit_by_levels(cells: DataFrame, width: int, start: float, rounds: int, dept
     for _ in range(rounds):
 
         def best_splits(tree, level, table=table, recent=tuple(recent)):
-            sums = table.mapInArrow(_summed(width, recent, tree, level), "feature int, sums binary")
-            dealt = sums.repartition("feature").sortWithinPartitions("feature")
-            return _better([Split(**r.asDict()) for r in dealt.mapInArrow(_searched(level), _SPLIT).collect()])
+            found = []
+            for features in _feature_blocks(width, len(level)):
+                sums = table.mapInArrow(_summed(width, recent, tree, level, features), "feature int, sums binary")
+                dealt = sums.repartition("feature").sortWithinPartitions("feature")
+                found += [Split(**r.asDict()) for r in dealt.mapInArrow(_searched(level), _SPLIT).collect()]
+            return _better(found)
 
         trees.append(_grow(depth, eta, best_splits))
         recent.append(trees[-1])
@@ -306,7 +322,8 @@ def train_boosted_classifier(
     A split gains GL²/(HL + 1) + GR²/(HR + 1) - G²/(H + 1) and needs a hessian of one on either side; a leaf adds
     -eta G/(H + 1). Values that are
     null or NaN go to the side of each split that gains more. The score starts with one Newton step from zero. Features
-    have up to 255 bins. Up to ``task_cells`` distinct rows of codes are boosted by one task; the result is the same.
+    have up to 255 bins. Up to ``task_cells`` distinct rows of codes (and ``TASK_CODES`` codes) are boosted by one task; the
+    result is the same.
     """
     chosen = {**BOOSTING, **(params or {})}
     settings = chosen["n_estimators"], chosen["max_depth"], chosen["eta"]
@@ -320,7 +337,7 @@ def train_boosted_classifier(
         raise ValueError("no row with a target to train on")
     start = 4 * size["y"] / size["n"] - 2
     width = len(feature_cols)
-    if size["cells"] > task_cells:
+    if size["cells"] > task_cells or size["cells"] * width > TASK_CODES:
         trees = _fit_by_levels(cells, width, start, *settings)
     else:
 
