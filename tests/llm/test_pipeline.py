@@ -9,7 +9,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__
 import corpus_pipeline
-from cohortloom.llm import decontaminate, fuzzy_lines
+from cohortloom.llm import decontaminate
 from cohortloom.llm import queries as Q
 from cohortloom.runtime import shared_dir
 from tests.llm.conftest import DOCS
@@ -28,16 +28,17 @@ def test_against_sql(spark, name, sf_dir):
 @pytest.mark.parametrize("name", sorted(set(Q.QUERIES) - set(Q.ORACLES)))
 def test_every_row_has_a_result(spark, name):
     found = Q.QUERIES[name](spark, SMALL)
-    key, table = ("page_id", "pages") if name == "language_of_pages" else ("doc_id", "documents")
+    others = {"language_of_pages": ("page_id", "pages"), "op11_whitening": ("vec_id", "embeddings")}
+    key, table = others.get(name, ("doc_id", "documents"))
     ids = spark.read.parquet(f"{SMALL}/{table}.parquet").select(key)
     assert ids.join(found, key, "left_anti").count() == 0
     if name != "op6_packing":
-        assert found.count() == ids.count()
+        assert found.count() == ids.count() * (32 if name == "op11_whitening" else 1)
 
 
 def test_registered():
     names = __spark_entry__.queries()
-    assert [n for n in range(1, 11) if sum(q.startswith(f"op{n}_") for q in names) != 1] == []
+    assert [n for n in range(1, 14) if sum(q.startswith(f"op{n}_") for q in names) != 1] == []
     assert "pipeline" in names and [n for n, _ in corpus_pipeline.STAGES] == ["language", "lines", "near_duplicates", "benchmark", "packing"]
 
 
