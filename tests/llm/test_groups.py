@@ -165,16 +165,9 @@ def test_edit_distance():
     for _ in range(2000):
         a, b = ("".join(random.choices("abé", k=random.randint(0, 14))) for _ in range(2))
         assert fuzzy_lines.edit_distance(a, b) == distance(a, b)
-
-
-def test_masks_find_every_pair_within_three_bits():
-    random.seed(9)
-    for rows in (10, 10**8, 10**12):
-        masks = fuzzy_lines.block_masks(rows)
-        for _ in range(300):
-            difference = sum(1 << k for k in random.sample(range(64), random.randint(0, 3)))
-            assert any(difference & m == 0 for m in masks)
-    assert len(fuzzy_lines.block_masks(10)) == 4 < len(fuzzy_lines.block_masks(10**8))
+        for limit in (0, 1.5, 4):
+            found = fuzzy_lines.edit_distance(a, b, limit)
+            assert found == distance(a, b) if distance(a, b) <= limit else found > limit
 
 
 def line_documents():
