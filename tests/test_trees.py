@@ -165,6 +165,35 @@ def test_hazards_of_a_leaf():
     assert survival_forest.nelson_aalen(np.array([0, 0]), np.array([0, 0]), np.ones(2))[0].tolist() == []
 
 
+def test_cuts_that_leave_too_few_are_not_counted():
+    risk, event = np.arange(1, 26), np.ones(25, np.int64)
+    node = survival_forest._Node(risk, event, np.ones(25))
+    counted = []
+    node._by_time = lambda group, groups: (counted.append(groups), survival_forest._Node._by_time(node, group, groups))[1]
+    found = node.best_cut(np.arange(25).astype(np.uint8), 10)
+    # six cuts leave ten on either side: their groups, the rest, and the missing values
+    assert counted == [8] and found[1] in range(9, 15)
+    assert survival_forest._Node(risk[:19], event[:19], np.ones(19)).best_cut(np.arange(19).astype(np.uint8), 10) is None
+
+
+def test_hazards_of_all_leaves_at_once():
+    draw = np.random.default_rng(3)
+    leaf, risk, event = draw.integers(0, 9, 400), draw.integers(0, 30, 400), draw.integers(0, 2, 400)
+    event[(leaf == 4) | (risk == 0)] = 0  # a leaf without events
+    weight = draw.integers(1, 4, 400).astype(float)
+    times, hazards, begins = survival_forest._leaf_hazards(leaf, 9, risk, event, weight)
+    for k in range(9):
+        wanted = survival_forest.nelson_aalen(risk[leaf == k], event[leaf == k], weight[leaf == k])
+        part = slice(begins[k], begins[k + 1])
+        assert times[part].tolist() == wanted[0].tolist() and hazards[part].tolist() == wanted[1].tolist()
+
+
+def test_trees_are_dealt_to_many_tasks(spark):
+    df = spark.createDataFrame(survival_rows(), "id int, x double, z double, t double, e int")
+    forest = models.train_survival_forest(df, "t", "e", ["x", "z"], n_estimators=40)
+    assert len(forest.trees.inputFiles()) > int(spark.conf.get("spark.sql.shuffle.partitions")) + 5
+
+
 def survival_rows(n=300):
     draw = random.Random(9)
     out = []
