@@ -2,20 +2,22 @@
 
 Rows that agree in the codes of all features share their score in every round, so a grouped aggregate first turns rows
 into weighted cells. A level of a tree is one aggregate over the cells: gradients and hessians are summed per (node,
-feature, bin), first within each task, then per feature, where the best split of each node is found. The driver gets one
-candidate per node and reducing task.
+feature, bin), first within each task, then by the driver or, where there are many sums, per feature, where the best split
+of each node is found.
 """
 
 from __future__ import annotations
 
 import json
+import operator
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import RDD, StorageLevel
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from cohortloom.operators.binning import MISSING, code_matrix, coded, coded_rows, feature_cuts, numeric
@@ -175,91 +177,112 @@ def _fit_in_task(codes: np.ndarray, n: np.ndarray, y: np.ndarray, start: float,
     return trees
 
 
-def _cells_of(batch: pa.RecordBatch, width: int, recent: Sequence[Tree]) -> tuple[np.ndarray, ...]:
-    """Codes, counts, positives and scores of the cells; the score of the table plus that of the trees since."""
-    codes = code_matrix(batch.column(0), width)
-    n, y, score = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2, 3))
-    return codes, n.astype(np.float64), y.astype(np.float64), score + sum((t.values(codes) for t in recent), np.zeros(len(codes)))
+_BLOCK = "codes binary, n binary, y binary, score binary"
+Cells = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]  # codes, rows, positives, score
 
 
-def _summed(width: int, recent: Sequence[Tree], tree: Tree, level: Sequence[int], features: Sequence[int]):
-    """A task's histograms of some features, a row each."""
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The cells of a batch as one row."""
+    for batch in batches:
+        if batch.num_rows:
+            numbers = [batch.column(i).to_numpy(zero_copy_only=False).astype(np.float64).tobytes() for i in (1, 2, 3)]
+            packed = [b"".join(batch.column(0).to_pylist()), *numbers]
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in packed], ["codes", "n", "y", "score"])
 
-    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
+
+def _cells_of(block: Row, width: int) -> Cells:
+    return np.frombuffer(block[0], np.uint8).reshape(-1, width), *[np.frombuffer(x) for x in block[1:]]
+
+
+def _rescored(width: int, recent: Sequence[Tree]):
+    def rescored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            codes, n, y, score = _cells_of(batch, width, recent)
+            score = []
+            for block in zip(*[c.to_pylist() for c in batch.columns]):
+                codes, _, _, before = _cells_of(block, width)
+                score.append(sum((t.values(codes) for t in recent), before).tobytes())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(score, pa.binary())], batch.schema.names)
+
+    return rescored
+
+
+def _moved(tree: Tree):
+    """The cells with the scores that one more tree gives them."""
+    return lambda cells: (*cells[:3], cells[3] + tree.values(cells[0]))
+
+
+def _summed(tree: Tree, level: Sequence[int], features: Sequence[int]):
+    """A task's histograms of some features."""
+
+    def summed(blocks: Iterator[Cells]) -> Iterator[tuple[int, np.ndarray]]:
+        total = None
+        for codes, n, y, score in blocks:
             sums = _histograms(codes, tree.nodes(codes), level, *_weights(n, y, score), features)
             total = sums if total is None else total + sums
-        for f, own in zip(features, () if total is None else total):
-            yield pa.RecordBatch.from_arrays([pa.array([f], pa.int32()), pa.array([own.tobytes()], pa.binary())], ["feature", "sums"])
+        return iter(() if total is None else zip(features, total))
 
     return summed
 
 
 def _searched(level: Sequence[int]):
-    """The best split of each node among the features of a task."""
-
-    def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, feature, total = [], None, None
+    """The best split of each node among some features."""
 
-        def close():
-            if total is not None:
-                found.extend(_best_split(feature, node, total[0, k], total[1, k]) for k, node in enumerate(level))
-
-        for batch in batches:
-            for f, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                sums = np.frombuffer(data).reshape(2, len(level), _CODES)
-                if f != feature:
-                    close()
-                    feature, total = f, np.zeros_like(sums)
-                total = total + sums
-        close()
-        rows = [tuple(vars(s).values()) for s in _better(found).values()]
-        if rows:
-            names = [part.split()[0] for part in _SPLIT.split(", ")]
-            kinds = [{"int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_()}[part.split()[1]] for part in _SPLIT.split(", ")]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+    def searched(sums: Iterator[tuple[int, np.ndarray]]) -> list[Split]:
+        return list(_better([_best_split(f, node, *own[:, k]) for f, own in sums for k, node in enumerate(level)]).values())
 
     return searched
 
 
-def _rescored(width: int, recent: Sequence[Tree]):
-    def rescored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                score = _cells_of(batch, width, recent)[3]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(score)], batch.schema.names)
+def _fit_by_levels(cells: DataFrame, width: int, start: float, rounds: int, depth: int, eta: float) -> list[Tree]:
+    """A job per level over cells that stay with the executors; every few rounds the scores are written.
 
-    return rescored
+    A job has one stage as long as the driver can add the sums of its tasks; otherwise they are added by feature.
+    """
+    spark = cells.sparkSession
+    blocks = materialize(cells.withColumn("score", F.lit(start)).mapInArrow(_blocks, _BLOCK), "cells")
 
+    def kept(blocks: DataFrame) -> RDD:
+        return blocks.rdd.map(lambda block: _cells_of(block, width)).persist(StorageLevel.MEMORY_AND_DISK)
 
-def _fit_by_levels(cells: DataFrame, width: int, start: float, rounds: int, depth: int, eta: float) -> list[Tree]:
-    """A job per level; every few rounds the scores are written, so that no task has many trees to follow."""
-    spark = cells.sparkSession
-    kinds = "codes binary, n long, y long, score double"
-    table = materialize(cells.withColumn("score", F.lit(start)), "cells")
+    held = kept(blocks)
+    parts = held.getNumPartitions()
     trees: list[Tree] = []
     recent: list[Tree] = []
     path = None
+    now, older = held, []
     for _ in range(rounds):
 
-        def best_splits(tree, level, table=table, recent=tuple(recent)):
-            found = []
+        def best_splits(tree, level, now=now):
+            search, found = _searched(level), []
             for features in _feature_blocks(width, len(level)):
-                sums = table.mapInArrow(_summed(width, recent, tree, level, features), "feature int, sums binary")
-                dealt = sums.repartition("feature").sortWithinPartitions("feature")
-                found += [Split(**r.asDict()) for r in dealt.mapInArrow(_searched(level), _SPLIT).collect()]
+                sums = now.mapPartitions(_summed(tree, level, features))
+                if parts * len(features) * len(level) * _CODES * 16 <= HISTOGRAM_BYTES:
+                    total: dict[int, np.ndarray] = {}
+                    for f, own in sums.collect():
+                        total[f] = total[f] + own if f in total else own
+                    found += search(total.items())
+                else:
+                    found += sums.reduceByKey(operator.add, min(len(features), parts)).mapPartitions(search).collect()
             return _better(found)
 
         trees.append(_grow(depth, eta, best_splits))
         recent.append(trees[-1])
+        older.append(now)
+        now = now.map(_moved(trees[-1])).persist(StorageLevel.MEMORY_AND_DISK)
+        if len(older) > 1:
+            older.pop(0).unpersist()
         if len(recent) == ROUNDS_PER_TABLE:
             before, path = path, scratch_path(spark, "cells")
-            table.mapInArrow(_rescored(width, tuple(recent)), kinds).write.parquet(path)
-            table, recent = spark.read.schema(kinds).parquet(path), []
+            blocks.mapInArrow(_rescored(width, tuple(recent)), _BLOCK).write.parquet(path)
+            for rdd in (*older, now):
+                rdd.unpersist()
+            blocks, recent, older = spark.read.schema(_BLOCK).parquet(path), [], []
+            now = kept(blocks)
+            parts = now.getNumPartitions()
             if before:
                 remove_path(spark, before)
+    for rdd in (*older, now):
+        rdd.unpersist()
     return trees
 
 

@@ -85,6 +85,17 @@ def test_boosting_against_plain_version(spark, task_cells, n, monkeypatch):
     assert sum(shares.values()) == pytest.approx(1) and shares["d"] == shares["e"] == 0 and min(shares["a"], shares["b"]) > 0
 
 
+def test_a_level_is_one_stage(spark):
+    df = spark.createDataFrame(patients(), ROWS)
+    sc = spark.sparkContext
+    sc.setJobGroup("boosting", "boosting")
+    models.train_boosted_classifier(df, list("abc"), params={"n_estimators": 6, "max_depth": 4}, task_cells=0)
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker = sc.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("boosting")]
+    assert sum(len(j.stageIds) == 1 for j in jobs) >= 6 * 2 and sum(len(j.stageIds) for j in jobs) < 6 * 4 + 20
+
+
 def snapped(rows, cuts):
     """The rows with the values of the continuous feature moved up to their cut, as bins see them."""
     points = [*cuts.tolist(), math.inf]
