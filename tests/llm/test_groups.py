@@ -211,6 +211,18 @@ def lines_left(rows, similarity=0.9):
     return documents_, members
 
 
+def test_lines_meet_whatever_the_size_of_the_table(spark, monkeypatch):
+    for least in (fuzzy_lines.LEAST, fuzzy_lines.LEAST_SHORT):
+        assert fuzzy_lines.bands(least) == [[i, i + 1] for i in range(0, least, 2)]
+    rows = spark.createDataFrame([], "text_key binary, text string")
+    classes = rows.selectExpr(
+        "text_key as key", "named_struct('text_key', text_key, 'line', 0L) as least",
+        "named_struct('chars', 9, 'simhash', 0L, 'simhash2', 0L, 'least', text_key) as sketch",
+    )
+    monkeypatch.setattr(type(classes), "count", lambda self: pytest.fail("lines are counted to choose the buckets"))
+    assert fuzzy_lines._links(rows, classes, 0.9, 8).collect() == []
+
+
 def test_fuzzy_lines(spark):
     rows = line_documents()
     df = spark.createDataFrame([(*r, "a", 5) for r in rows], "doc_id long, text string, text_key string, n_removed int")
