@@ -6,7 +6,7 @@ import random
 import pytest
 
 from cohortloom.functions import deident
-from cohortloom.operators import contracts, fuse, inspect, linkage, slice_quantiles
+from cohortloom.operators import connected, contracts, fuse, inspect, linkage, slice_quantiles
 from cohortloom.operators.connected import connected_components
 from cohortloom.plans import clean, ingest
 from cohortloom.sources import delimited, layers, records
@@ -64,6 +64,35 @@ def test_records_that_share_any_key(spark):
     assert not {r.master_patient_id for r in other} & set(ids.values())
 
 
+def test_rounds_of_components_work_on_fewer_and_fewer_numbers(spark, monkeypatch):
+    written, kept = [], connected.materialize
+
+    def noted(df, label):
+        table = kept(df, label)
+        written.append((label, {f.dataType.simpleString() for f in table.schema}, table.count()))
+        return table
+
+    monkeypatch.setattr(connected, "materialize", noted)
+    # a chain of hubs, each with leaves of its own
+    pairs = [(f"hub{i:02d}", f"hub{i + 1:02d}") for i in range(40)] + [(f"hub{i:02d}", f"leaf{i:02d}{j:02d}") for i in range(40) for j in range(30)]
+    found = connected.connected_components(spark.createDataFrame(pairs, "a string, b string")).collect()
+    assert {r.root for r in found} == {"hub00"} and len(found) == 41 + 1200
+    edges = [(kinds, rows) for label, kinds, rows in written if label == "edges"]
+    assert len(edges) > 2 and all(kinds == {"bigint"} for kinds, _ in edges)
+    # leaves go in the first round, and every round has half the edges at most
+    assert edges[1][1] <= 40 and all(2 * after <= before for (_, before), (_, after) in zip(edges, edges[1:]))
+
+
+def test_records_of_several_rows_link_all_their_keys(spark):
+    rows = [("1", "b", None), ("1", "d", "x"), ("1", "c", None), ("2", "c", None), ("3", None, "x"), ("4", "e", None), (None, "e", "y"), (None, "f", None), (None, "g", None), ("5", "f", None)]
+    df = spark.createDataFrame(rows, "_source_patient_id string, k0 string, k1 string")
+    found = linkage.link_by_any_key((df, "a"), keys=["k0", "k1"], salt="s").collect()
+    groups = {}
+    for r in found:
+        groups.setdefault(r.master_patient_id, set()).add(r._source_patient_id)
+    assert sorted(map(str, (sorted(map(str, g)) for g in groups.values()))) == ["['1', '2', '3']", "['4', '5', 'None']"]
+
+
 def test_bucketed_modalities_meet_without_a_shuffle(spark):
     one = spark.createDataFrame([(i if i else None, i * 2) for i in range(50)], "id long, a long")
     two = spark.createDataFrame([(i, str(i)) for i in range(20, 90)] + [(21, "again"), (None, "x")], "id long, b string")
