@@ -4,7 +4,8 @@
 ``method="exact"`` uses the sketch only to find a narrow slice around each wanted
 rank; a second aggregate counts what lies outside the slices as a few totals and
 what lies inside by value, and the wanted element is read from their running totals, which
-are taken in ranges. No task ever holds the values of a whole group.
+are taken in ranges. No task ever holds the values of a whole group. Whole columns are
+sketched and counted side by side, and only rows that lie in a slice become rows per value.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from cohortloom.operators.ordered import running_sums
 from cohortloom.runtime import any_of, attach, materialize
 
 SKETCH_ACCURACY = 10_000
+KLL_K = 65_535  # of whole columns: ranks to about one in ten thousand
 
 
 def quantile_name(column: str) -> str:
@@ -50,9 +52,74 @@ def quantile_table(
         return materialize(stats, "quantiles")
     if method != "exact":
         raise ValueError(f"unknown quantile method {method!r}")
+    if not group_cols:
+        return _exact_whole(df, list(columns), list(probabilities), accuracy)
     return _exact_table(df, list(columns), list(probabilities), list(group_cols), accuracy)
 
 
+def _exact_whole(df: DataFrame, columns: list[str], probabilities: list[float], accuracy: int) -> DataFrame:
+    """One row with an array per column. The driver sees counts and the slices' edges, one row of them a pass."""
+    spark, places = df.sparkSession, range(len(columns))
+    doubles = df.select(*[F.col(c).cast("double").alias(f"__{i}") for i, c in enumerate(columns)])
+    stats = [
+        (F.kll_sketch_agg_double(c, KLL_K).alias(f"s{c}"), F.count(c).alias(f"n{c}"), F.count_if(F.isnan(c)).alias(f"x{c}"))
+        for c in doubles.columns
+    ]
+    sketches = materialize(doubles.agg(*[a for column in stats for a in column]), "sketch")
+    row = sketches.select(*[f"{kind}{c}" for c in doubles.columns for kind in "nx"]).first()
+    n, nans = ([row[f"{kind}{c}"] or 0 for c in doubles.columns] for kind in "nx")
+    found: dict[tuple[int, float], float] = {}
+    wanted = [(i, p) for i in places if n[i] for p in dict.fromkeys(probabilities)]
+    margin = 4.0 / accuracy
+    while wanted:
+        edges = _edges(sketches, wanted, n, nans, margin)
+        target = [max(1, math.ceil(p * n[i])) for i, p in wanted]
+        found |= {wanted[k]: q for k, q in _inside(doubles, wanted, edges, target).items()}
+        # a slice missed its rank: widen it and look again
+        wanted, margin = [w for w in wanted if w not in found], margin * 16
+    values = [[found.get((i, p)) for p in probabilities] for i in places]
+    return spark.createDataFrame([values], ", ".join(f"`{quantile_name(c)}` array<double>" for c in columns))
+
+
+def _edges(
+    sketches: DataFrame, wanted: list[tuple[int, float]], n: list[int], nans: list[int], margin: float
+) -> list[tuple[float, float]]:
+    """The least and the greatest value of a slice around each wanted rank; the sketch leaves NaN out, the greatest of all."""
+    if margin >= 1.0:
+        return [(-math.inf, math.nan)] * len(wanted)
+    numbers = [n[i] - nans[i] for i, _ in wanted]
+    ranks = [tuple((p + side) * n[i] / max(1, m) for side in (-margin, margin)) for (i, p), m in zip(wanted, numbers)]
+    read = [
+        F.array(*[F.kll_sketch_get_quantile_double(f"s__{i}", F.lit(min(1.0, max(0.0, r)))) for r in both]).alias(str(k))
+        for k, ((i, _), both, m) in enumerate(zip(wanted, ranks, numbers))
+        if m
+    ]
+    row = sketches.select(*read).first().asDict() if read else {}
+    edges = []
+    for k, (i, _) in enumerate(wanted):
+        low, high = row.get(str(k), (math.nan, math.nan))
+        edges.append((low, math.nan if nans[i] and ranks[k][1] >= 1.0 else high))
+    return edges
+
+
+def _inside(
+    doubles: DataFrame, wanted: list[tuple[int, float]], edges: list[tuple[float, float]], target: list[int]
+) -> dict[int, float]:
+    """The element of each target rank, by the slice's number, where the slice holds it."""
+    column = [F.col(f"__{i}") for i, _ in wanted]
+    lower = [F.count_if(c < low).alias(str(k)) for k, (c, (low, _)) in enumerate(zip(column, edges))]
+    below = list(doubles.agg(*lower).first())
+    within = [c.between(low, high) for c, (low, high) in zip(column, edges)]
+    held = F.array(*[F.when(hit, F.struct(F.lit(k).alias("__slice"), c.alias("__v"))) for k, (hit, c) in enumerate(zip(within, column))])
+    rows = doubles.filter(any_of(within)).select(F.explode(F.array_compact(held)).alias("r")).select("r.*")
+    counts = materialize(rows.groupBy("__slice", "__v").agg(F.count(F.lit(1)).alias("__c")), "counts")
+    ranked = running_sums(counts, ["__v"], ["__c"], ["__slice"])
+    need = F.get(F.array(*[F.lit(t - b) for t, b in zip(target, below)]), F.col("__slice"))
+    picked = ranked.filter(F.col("cum___c") >= need).groupBy("__slice").agg(F.min("__v").alias("__q"))
+    # one row per slice; a rank below the slice is none of its own
+    return {r["__slice"]: r["__q"] for r in picked.collect() if target[r["__slice"]] > below[r["__slice"]]}
+
+
 def _exact_table(
     df: DataFrame, columns: list[str], probabilities: list[float], group_cols: list[str], accuracy: int
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from cohortloom import defaults
 from cohortloom.plans import clean, features, ingest
-from cohortloom.runtime import scratch_path
+from cohortloom.runtime import materialize, scratch_path
 from cohortloom.sources.layers import layer_path, scan_layer, write_bronze_slice
 from cohortloom.streaming.newest import follow_slices, newest_rows
 from suite import frames, scans
@@ -227,7 +227,7 @@ def tagged_counts(spark, sf):
     """Count rows with their cases, without the detour over landed files."""
     rows = frames.count_rows(spark, sf).unionByName(frames.summary_rows(spark, sf), allowMissingColumns=True)
     listing = listed(spark, sf).withColumnsRenamed({"cases.case_id": "case_id", "cases.submitter_id": "submitter_id"})
-    return rows.join(listing.select("file_id", "case_id", "submitter_id"), "file_id")
+    return rows.join(materialize(listing.select("file_id", "case_id", "submitter_id"), "listing"), "file_id")
 
 
 def cleaned_rna_seq(spark, sf, root: str) -> str:

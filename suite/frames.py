@@ -124,8 +124,16 @@ MUTATIONS_SQL = f"""
 # --- expression counts: one file per block of orders, one gene row per line item
 
 
+def file_number(order_key: Column) -> Column:
+    return F.floor(order_key / ORDERS_PER_FILE)
+
+
+def file_name(number: Column) -> Column:
+    return F.concat(F.lit("f"), number.cast("string"))
+
+
 def file_of(order_key: Column) -> Column:
-    return F.concat(F.lit("f"), F.floor(order_key / ORDERS_PER_FILE).cast("string"))
+    return file_name(file_number(order_key))
 
 
 def count_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,7 +155,7 @@ def count_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def summary_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The four rows a count file starts with: totals without a gene name."""
-    per_file = table(spark, sf_dir, "lineitem").groupBy(file_of(F.col("l_orderkey")).alias("file_id")).agg(
+    per_file = table(spark, sf_dir, "lineitem").groupBy(file_number(F.col("l_orderkey")).alias("number")).agg(
         F.count(F.lit(1)).alias("N_unmapped"),
         F.count_if(F.col("l_returnflag") == "R").alias("N_multimapping"),
         F.count_if(F.col("l_returnflag") == "A").alias("N_noFeature"),
@@ -158,7 +166,7 @@ def summary_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(n).alias("gene_id"),
         *[F.col(n).alias(c) for c in ("unstranded", "stranded_first", "stranded_second")],
     ) for n in names])
-    return per_file.select("file_id", F.inline(pairs))
+    return per_file.select(file_name(F.col("number")).alias("file_id"), F.inline(pairs))
 
 
 COUNT_SQL = f"""
@@ -203,8 +211,10 @@ COUNT_FOLDER = "file_id={file_id}"
 
 def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed file metadata with its cases as a list; every fourth file has two."""
-    number = F.substring("file_id", 2, 20).cast("long")
-    files = table(spark, sf_dir, "lineitem").select(file_of(F.col("l_orderkey")).alias("file_id")).distinct()
+    number = F.col("number")
+    # numbers first: what is asked of the listing is then asked of them, and no row of the table becomes text
+    files = table(spark, sf_dir, "lineitem").select(file_number(F.col("l_orderkey")).alias("number")).distinct()
+    files = files.withColumn("file_id", file_name(number))
 
     def case(suffix: str) -> Column:
         return F.struct(

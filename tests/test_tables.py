@@ -39,6 +39,36 @@ def test_exact_quantiles_with_a_coarse_sketch(spark):
         assert row[quantiles.quantile_name("v")] == [lower_quantile(mine, p) for p in (0.1, 0.5, 0.9)]
 
 
+@pytest.mark.parametrize("k, accuracy", [(65_535, 10_000), (8, 10_000), (200, 100)])
+def test_exact_quantiles_of_whole_columns(spark, monkeypatch, k, accuracy):
+    """Also where the sketch misses, and with nulls, NaN (the greatest of all) and few values."""
+    monkeypatch.setattr(quantiles, "KLL_K", k, raising=False)
+    rng, nan = random.Random(5), float("nan")
+    rows = [
+        (rng.gauss(0, 1), float(rng.randrange(7)), nan if i % 3 else float(i), nan, i if i % 5 else None, None)
+        for i in range(6000)
+    ]
+    names = ["many", "few", "odd", "none", "gaps", "empty"]
+    df = spark.createDataFrame(rows, "many double, few double, odd double, none double, gaps long, empty double").repartition(5)
+    probs = [0.0, 0.1, 0.3333, 0.5, 0.5, 1.0]
+    found = quantiles.quantile_table(df, names, probs, (), "exact", accuracy).first()
+    for i, name in enumerate(names):
+        mine = sorted((r[i] for r in rows if r[i] is not None), key=lambda v: (v != v, v if v == v else 0))
+        wanted = [mine[max(int(np.ceil(p * len(mine))), 1) - 1] if mine else None for p in probs]
+        assert str(found[quantiles.quantile_name(name)]) == str([None if v is None else float(v) for v in wanted])
+
+
+def test_whole_columns_are_counted_without_a_row_per_value(spark, monkeypatch):
+    """Only rows of a slice become rows per value: neither the sketch nor the counts outside it take them."""
+    written = []
+    kept = quantiles.materialize
+    monkeypatch.setattr(quantiles, "materialize", lambda df, label: (written.append((label, df._jdf.queryExecution().optimizedPlan().toString())), kept(df, label))[1])
+    df = spark.range(200_000).select((F.col("id") * 7 % 200_003).cast("double").alias("a"), F.col("id").cast("double").alias("b"))
+    assert quantiles.global_quantiles(df, ["a", "b"], [0.5])["b"] == [99_999.0]
+    plans = dict(written)
+    assert "Generate" not in plans["sketch"] and "Join" not in plans["counts"] and "Filter" in plans["counts"]
+
+
 def test_quantiles_of_an_empty_column(spark):
     df = spark.createDataFrame([(None,), (None,)], "v double")
     for method in ("exact", "approx"):
