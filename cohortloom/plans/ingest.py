@@ -67,9 +67,8 @@ def ingest_gdc_metadata(
 
 
 def _published(
-    df: DataFrame, path: str, ingestion_date: str | None, contract: contracts.Contract | None = None,
-    minimum: tuple[str, int, str] | None = None,
-) -> str:
+    df: DataFrame, path: str, ingestion_date: str | None, contract: contracts.Contract | None = None
+) -> str:
     """Write a source once to the shared folder, checking it on the way, and publish it as a slice.
 
     The raw files are read once however many checks there are; a failed check leaves the slice as it was.
@@ -78,8 +77,6 @@ def _published(
     staged = materialize(df if watch is None else watch.df, "staged")
     if watch is not None:
         watch.validate()
-    if minimum is not None:
-        guard_min_groups(staged, *minimum)
     return write_bronze_slice(staged, path, ingestion_date)
 
 
@@ -111,7 +108,8 @@ def ingest_rna_seq(
 ) -> str:
     """Count files named after their id in a folder: those that are listed and have landed.
 
-    Fewer than ``minimum`` files are an error. ``limit`` cuts the listing, on request only.
+    Fewer than ``minimum`` files are an error. ``limit`` cuts the listing, on request only. The files are counted in the
+    table of their lines, so the rows are parsed and written once, into the slice.
     """
     listing, paths = _listed_files(spark, files, limit, folder, naming)
     what = "the expression read"
@@ -119,8 +117,8 @@ def ingest_rna_seq(
         raise ValueError(f"{what} has none of the listed files")
     counts = delimited.scan_count_tsv(spark, paths, schema, file_id)
     tagged = delimited.tag_file_lineage(counts, listing, ["case_id", "submitter_id"])
-    bronze = layer_path(root, "bronze", "gdc_rna_seq_counts")
-    return _published(tagged, bronze, ingestion_date, minimum=("file_id", minimum, what))
+    guard_min_groups(tagged, "file_id", minimum, what)
+    return write_bronze_slice(tagged, layer_path(root, "bronze", "gdc_rna_seq_counts"), ingestion_date)
 
 
 @cleans_up

@@ -54,7 +54,7 @@ def scan_count_tsv(
     if lacking:
         raise ValueError(f"count files lack the columns {lacking['lacking']}")
     rows = lines.filter(~is_header)
-    if not rows.join(headers, "__file", "left_anti").isEmpty():
+    if not lines.select("__file").distinct().join(headers, "__file", "left_anti").isEmpty():
         raise ValueError("count files without the header they must have")
     seen = {r["name"] for r in headers.select(F.explode("names").alias("name")).distinct().collect()}
     measure = ("tpm_", "fpkm_")
@@ -67,7 +67,9 @@ def scan_count_tsv(
 
     def field(i: int, name: str, kind: T.DataType) -> Column:
         text = F.get("__held", F.get("__at", F.lit(i)))
-        return F.nullif(F.regexp_replace(text, '^"(.*)"$', "$1"), F.lit("")).cast(kind).alias(name)
+        # few fields are quoted, and only those need the expression
+        bare = F.when(text.startswith('"'), F.regexp_replace(text, '^"(.*)"$', "$1")).otherwise(text)
+        return F.nullif(bare, F.lit("")).cast(kind).alias(name)
 
     held = rows.select("file_id", "__file", F.split("value", "\t", -1).alias("__held")).join(places, "__file")
     return held.select(*[field(i, n, k) for i, (n, k) in enumerate(kinds)], "file_id")

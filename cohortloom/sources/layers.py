@@ -61,20 +61,26 @@ def scan_layer(
 def write_bronze_slice(df: DataFrame, path: str, ingestion_date: str | None = None) -> str:
     """Replace the slice of one date and leave every other slice alone.
 
-    Running twice with the same input leaves one copy. An empty frame is refused.
+    Running twice with the same input leaves one copy. An empty frame is refused, and a write that fails leaves the
+    table as it was.
     """
     spark = df.sparkSession
     stamp = ingestion_date or dt.date.today().isoformat()
     existed = table_exists(spark, path)
     folder = f"{path}/{SLICE}={stamp}"
     before = folder_entries(spark, folder)
-    (
-        df.withColumn(SLICE, F.lit(stamp))
-        .write.partitionBy(SLICE)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .parquet(path)
-    )
+    try:
+        (
+            df.withColumn(SLICE, F.lit(stamp))
+            .write.partitionBy(SLICE)
+            .mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .parquet(path)
+        )
+    except Exception:
+        if not existed:
+            remove_path(spark, path)
+        raise
     # an empty frame writes no file and so replaces no slice; asking it beforehand
     # would compute it twice
     if folder_entries(spark, folder) <= before:

@@ -82,6 +82,28 @@ def test_absent_files_are_reported_and_unlisted_ones_not_opened(spark, scratch):
     assert layers.slice_dates(spark, path) == ["2024-01-01"]
 
 
+def test_count_rows_are_written_once(spark, scratch, monkeypatch):
+    """The slice is the only table of parsed rows; a value that does not fit leaves the table as it was."""
+    labels, kept = [], ingest.materialize
+    monkeypatch.setattr(ingest, "materialize", lambda df, label="step": (labels.append(label), kept(df, label))[1])
+    for i in range(6):
+        put(scratch, f"counts/f{i}.tsv", count_file([("A", i), ('"B"', 7)]))
+    files = ingest.list_files(listing(spark, 6), "P", "Transcriptome Profiling", "TSV")
+    path = ingest.ingest_rna_seq(spark, scratch, files, f"{scratch}/counts", ingestion_date="2024-01-01")
+    assert "staged" not in labels
+    rows = layers.scan_layer(spark, path)
+    names = {r[0] for r in rows.select("gene_name").distinct().collect()}
+    assert rows.select("file_id").distinct().count() == 6 and {"A", "B"} <= names
+    before = rows.count()
+    good = open(f"{scratch}/counts/f3.tsv").read()
+    put(scratch, "counts/f3.tsv", good.replace("\t3\t", "\tmany\t"))
+    for root in (scratch, f"{scratch}/new"):
+        with pytest.raises(Exception, match="many"):
+            ingest.ingest_rna_seq(spark, root, files, f"{scratch}/counts", ingestion_date="2024-01-02")
+    assert layers.slice_dates(spark, path) == ["2024-01-01"] and layers.scan_layer(spark, path).count() == before
+    assert not layers.table_exists(spark, path.replace(scratch, f"{scratch}/new"))
+
+
 def test_layouts_from_a_file(spark, scratch):
     path = put(scratch, "x.txt", "ab 12\n")
     layout = [{"name": "letters", "start": 1, "end": 2}, ("digits", 4, 5)]
