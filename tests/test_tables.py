@@ -69,6 +69,18 @@ def test_whole_columns_are_counted_without_a_row_per_value(spark, monkeypatch):
     assert "Generate" not in plans["sketch"] and "Join" not in plans["counts"] and "Filter" in plans["counts"]
 
 
+def test_ordered_vectors_sort_by_a_number_first(spark):
+    rows = [(f"p{i % 5}" if i % 9 else None, f"g{i % 3}", None if i % 7 == 0 else float(i), 100 - i) for i in range(90)]
+    df = spark.createDataFrame(rows, "id string, gene string, v double, at long")
+    made = reshape.long_to_vector(df, "id", "gene", "v", ["g0", "g1", "g2"], order_by=["at"])
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64(id" in plan
+    for r in made.collect():
+        for k, found in enumerate(r["features"]):
+            mine = [(at, v) for i, g, v, at in rows if i == r["id"] and g == f"g{k}" and v is not None]
+            assert found == (min(mine)[1] if mine else 0.0)
+
+
 def test_quantiles_of_an_empty_column(spark):
     df = spark.createDataFrame([(None,), (None,)], "v double")
     for method in ("exact", "approx"):
