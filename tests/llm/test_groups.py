@@ -6,6 +6,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from cohortloom.llm import fuzzy_lines, jaccard_join, vectors
@@ -170,6 +171,81 @@ def test_edit_distance():
             assert found == distance(a, b) if distance(a, b) <= limit else found > limit
 
 
+def test_distances_side_by_side():
+    rng = random.Random(5)
+    a, b, limits = [], [], []
+    for n in [0, 1, 5, 40, 130, 400] * 40:
+        letters = rng.choice(["ab", "abcdefghij é中😀"])
+        x = "".join(rng.choices(letters, k=n))
+        y = list(x)
+        for _ in range(rng.randint(0, rng.choice([3, 12, 90, 200]))):
+            at = rng.randint(0, len(y))
+            y[at : at + rng.randint(0, 1)] = rng.choices(letters, k=rng.randint(0, 1))
+        a.append(x)
+        b.append("".join(y))
+        limits.append(rng.choice([0, 1, 3, 10, 31, 62, 63, 64, 65, 100, 127, 128, 150]))
+    expected = [fuzzy_lines.edit_distance(x, y) <= n for x, y, n in zip(a, b, limits)]
+    assert fuzzy_lines.within_limits(a, b, np.array(limits)).tolist() == expected
+    assert 40 < sum(expected) < 200
+
+
+def tile_rows(rows):
+    """Rows of (``tile``, ``band``, ``key``, ``words``, ``least``) as the line stage has them."""
+    columns = dict(zip(["tile", "band", "key", "words", "least"], zip(*rows)))
+    n = len(rows)
+    return pa.RecordBatch.from_pydict(
+        {
+            "tile": pa.array(columns["tile"], pa.int64()),
+            "member": pa.array(range(n), pa.int64()),
+            "band": pa.array(columns["band"], pa.int8()),
+            "chars": pa.array([len(x) for x in columns["words"]], pa.int32()),
+            "simhash": pa.array([0] * n, pa.int64()),
+            "simhash2": pa.array([0] * n, pa.int64()),
+            "key": pa.array(columns["key"], pa.binary()),
+            "words": pa.array(columns["words"], pa.string()),
+            "least": pa.array(columns["least"], pa.binary()),
+        }
+    )
+
+
+def test_lines_of_several_buckets_are_verified_in_the_first():
+    line = "one line of a good many words that is met in several of the buckets at once"
+    a, b, c = (bytes(30) + x for x in (b"\x01\x00", b"\x02\x00", b"\x03\x00"))
+    other = b"\x09" * 4 + bytes(26)
+    rows = [
+        (1, 0, b"a", line, a), (1, 0, b"b", line + "s", b), (1, 0, b"c", line + "er", c),
+        # a bucket of the same lines and one more, which meets them nowhere else
+        (2, 1, b"a", line, a), (2, 1, b"b", line + "s", b), (2, 1, b"c", line + "er", c), (2, 1, b"d", line + "!!!", other + b"\x04\x00"),
+    ]
+    links = [tuple(sorted(x.values())) for t in fuzzy_lines._verified(0.9)(iter([tile_rows(rows)])) for x in t.to_pylist()]
+    assert len(links) == len(set(links))
+    assert sum(b"d" not in x for x in links) == 2
+    joined = {b"a"}
+    for _ in links:
+        joined |= {k for x in links if joined & set(x) for k in x}
+    assert joined == {b"a", b"b", b"c", b"d"}
+
+
+@pytest.mark.parametrize("n", [2, 3, 60, 200])
+def test_lines_near_in_all_bits_are_candidates(n):
+    # 24 bits apart in the first half, none in the second
+    far = np.zeros(n, np.uint64)
+    far[-1] = (1 << 24) - 1
+    far[1:-1] = np.uint64(0xFFFFFFFFFF) << np.uint64(24)
+    table = tile_rows([(7, 0, bytes([i]), "w" * 300, b"") for i in range(n)])
+    table = table.set_column(table.schema.get_field_index("simhash"), "simhash", pa.array(far.view(np.int64)))
+    kept = [x["member"] for t in fuzzy_lines._with_candidates(0.9)(iter([table])) for x in t.to_pylist()]
+    assert {0, n - 1} <= set(kept)
+
+
+def test_lines_of_unlike_length_in_a_large_tile_are_no_candidates():
+    table = tile_rows([(7, 0, bytes([i]), "w" * int(10 * 1.2**i), b"") for i in range(40)] * 2)
+    kept = [x for t in fuzzy_lines._with_candidates(0.9)(iter([table])) for x in t.to_pylist()]
+    # only equal lengths are near, so every tile is a pair of them
+    assert len(kept) == 80 and len({x["tile"] for x in kept}) == 40
+    assert all(len({x["member"] % 40 for x in kept if x["tile"] == t}) == 1 for t in {x["tile"] for x in kept})
+
+
 def line_documents():
     random.seed(10)
     shared = " ".join(sentence(70))
