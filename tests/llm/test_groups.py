@@ -246,6 +246,64 @@ def test_lines_of_unlike_length_in_a_large_tile_are_no_candidates():
     assert all(len({x["member"] % 40 for x in kept if x["tile"] == t}) == 1 for t in {x["tile"] for x in kept})
 
 
+def test_rows_of_a_bucket_meet_in_a_bounded_part():
+    rng = np.random.default_rng(6)
+    n = 600
+    least = rng.integers(0, 2**16, (n, fuzzy_lines.LEAST)).astype("<u2")
+    least[:300, 4:6], least[300:310, 0:2] = 7, 9  # a bucket of half the lines and one of ten
+    classes = pa.RecordBatch.from_pydict(
+        {
+            "member": pa.array(rng.permutation(n), pa.int64()),
+            "chars": pa.array(rng.integers(70, 300, n), pa.int32()),
+            "simhash": pa.array(range(n), pa.int64()),
+            "simhash2": pa.array(range(n), pa.int64()),
+            "least": pa.array([x.tobytes() for x in least], pa.binary()),
+        }
+    )
+    rows, buckets = fuzzy_lines._in_buckets(classes)
+    counts = list(fuzzy_lines._cell_counts(iter([classes.slice(0, 200), classes.slice(200)])))
+    large = [tuple(r.values()) for x in fuzzy_lines._large_cells(60)(iter(counts)) for r in x.to_pylist()]
+    assert sum(n for c, n in large if c < 0) == len(rows) == n * fuzzy_lines.LEAST // 2
+    deal = fuzzy_lines._Deal(len(rows), {c: n for c, n in large if c >= 0}, 60)
+    assert len(deal.cells) == 1
+    dealt = [r for x in deal.dealt(iter([classes])) for r in x.to_pylist()]
+    # a row is one of many in a record, and only those of the large bucket are sent more than once
+    assert len(dealt) <= deal.parts + int(deal.blocks[0]) ** 2
+    assert sum(len(r["rows"]) for r in dealt) == 36 * (len(rows) + 300 * (int(deal.blocks[0]) - 1))
+    met = defaultdict(set)
+    for r in sorted(dealt, key=lambda r: r["part"]):
+        part = pa.RecordBatch.from_pydict({"part": pa.array([r["part"]], pa.int64()), "rows": pa.array([r["rows"]], pa.binary())})
+        for table in fuzzy_lines._part_tiles(iter([part])):
+            assert r["part"] < deal.parts or table.num_rows <= 3 * 60
+            for tile, found in table.to_pandas().groupby("tile"):
+                assert found["chars"].is_monotonic_increasing and found["band"].nunique() == 1
+                met[tile] |= {frozenset(p) for p in itertools.combinations(sorted(found["member"]), 2)}
+    members = classes.column(0).to_numpy()
+    for tile, size in zip(*np.unique(buckets, return_counts=True)):
+        own = members[rows[buckets == tile]]
+        assert len(met.get(int(tile), ())) == size * (size - 1) // 2
+        assert size < 10 or met[int(tile)] == {frozenset(p) for p in itertools.combinations(own.tolist(), 2)}
+
+
+def test_pairs_that_their_letters_exclude_are_not_measured(monkeypatch):
+    rng = random.Random(4)
+    lines = ["".join(rng.choices("abcdefé日 ", k=rng.randint(1, 60))) for _ in range(60)]
+    lines += [x[:i] + "z" * (i % 3) + x[i + 1 :] for i, x in enumerate(lines)] + ["a" * 700, "a" * 690, "a" * 300]
+    i, j = (x.ravel() for x in np.indices((len(lines), len(lines))))
+    for similarity in (0.9, 0.5):
+        maybe = fuzzy_lines._Letters(lines).may_be_similar(i, j, similarity)
+        assert maybe[fuzzy_lines.similar_pairs(lines, i, j, similarity)].all()
+        assert not maybe.all()
+    # unrelated lines of one bucket whose bits are alike
+    texts = ["".join(rng.choices(rng.sample("abcdefghijklmnopqrstuvwxyz", 9), k=50)) for _ in range(40)]
+    measured = []
+    plain = fuzzy_lines.similar_pairs
+    monkeypatch.setattr(fuzzy_lines, "similar_pairs", lambda lines, i, j, s: measured.extend(i) or plain(lines, i, j, s))
+    batch = tile_rows([(1, 0, bytes([k]), x, b"") for k, x in enumerate([*texts, texts[0] + "!"])])
+    links = [x for t in fuzzy_lines._verified(0.9)(iter([batch])) for x in t.to_pylist()]
+    assert len(links) == 1 and len(measured) < 10
+
+
 def line_documents():
     random.seed(10)
     shared = " ".join(sentence(70))
