@@ -20,7 +20,7 @@ from cohortloom.operators.fuse import fuse_modalities
 from cohortloom.operators.guards import guard_min_columns
 from cohortloom.operators.joins import county_exposure, with_county_exposure
 from cohortloom.operators.reshape import long_to_vector
-from cohortloom.runtime import materialize
+from cohortloom.runtime import cleans_up, materialize
 from cohortloom.sources.layers import layer_path, overwrite_table, scan_layer, table_exists
 from cohortloom.sources.lookups import gene_pathways
 
@@ -74,21 +74,25 @@ def _silver(spark: SparkSession, root: str, domain: str) -> DataFrame:
     return scan_layer(spark, layer_path(root, "silver", domain))
 
 
+@cleans_up
 def clinical_features(spark: SparkSession, root: str) -> str:
     gold = clinical_features_frame(_silver(spark, root, "clinical"))
     return overwrite_table(gold, layer_path(root, "gold", "clinical_features"))
 
 
+@cleans_up
 def expression_features(spark: SparkSession, root: str, **options) -> str:
     gold = expression_features_frame(_silver(spark, root, "rna_seq"), **options)
     return overwrite_table(gold, layer_path(root, "gold", "expression_features"))
 
 
+@cleans_up
 def mutation_burden_features(spark: SparkSession, root: str, pathways: DataFrame | None = None) -> str:
     gold = mutation_burden_frame(_silver(spark, root, "mutations"), pathways)
     return overwrite_table(gold, layer_path(root, "gold", "mutation_burden_features"))
 
 
+@cleans_up
 def patient_features_tcga(spark: SparkSession, root: str) -> str:
     """Fuse the three blocks; clinical rows are per sample, the others per patient."""
     blocks = {
@@ -101,6 +105,7 @@ def patient_features_tcga(spark: SparkSession, root: str) -> str:
     return overwrite_table(fused, layer_path(root, "gold", "patient_features_tcga"))
 
 
+@cleans_up
 def patient_features_seer_environmental(spark: SparkSession, root: str) -> str | None:
     domains = ("seer_extract", "environmental_pm25")
     if not all(table_exists(spark, layer_path(root, "silver", d)) for d in domains):

@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.runtime import folder_entries, path_exists, remove_path
+from cohortloom.runtime import folder_entries, path_exists, remove_path, shuffles_go
 
 LAYERS = ("bronze", "silver", "gold")
 SLICE = "ingestion_date"
+CODEC = "zstd"  # ids and digests are most of a table, and snappy leaves them as they are
 
 
 def layer_path(root: str, layer: str, domain: str) -> str:
@@ -70,13 +71,15 @@ def write_bronze_slice(df: DataFrame, path: str, ingestion_date: str | None = No
     folder = f"{path}/{SLICE}={stamp}"
     before = folder_entries(spark, folder)
     try:
-        (
-            df.withColumn(SLICE, F.lit(stamp))
-            .write.partitionBy(SLICE)
-            .mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .parquet(path)
-        )
+        with shuffles_go(spark):
+            (
+                df.withColumn(SLICE, F.lit(stamp))
+                .write.partitionBy(SLICE)
+                .mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .option("compression", CODEC)
+                .parquet(path)
+            )
     except Exception:
         if not existed:
             remove_path(spark, path)
@@ -92,10 +95,11 @@ def write_bronze_slice(df: DataFrame, path: str, ingestion_date: str | None = No
 
 def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
     """Replace a derived table together with its schema."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", CODEC)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    with shuffles_go(df.sparkSession):
+        writer.parquet(path)
     return path
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from cohortloom import defaults
 from cohortloom.plans import clean, features, ingest
-from cohortloom.runtime import materialize, scratch_path
+from cohortloom.runtime import materialize, remove_path, scratch_path
 from cohortloom.sources.layers import layer_path, scan_layer, write_bronze_slice
 from cohortloom.streaming.newest import follow_slices, newest_rows
 from suite import frames, scans
@@ -396,15 +396,26 @@ def mutation_burden_features(spark, sf):
     return scan_layer(spark, features.mutation_burden_features(spark, root))
 
 
+def used_up(spark, root: str, *tables: str) -> None:
+    """Remove tables of a lake, named by layer and domain, that no later step reads."""
+    for name in tables:
+        remove_path(spark, layer_path(root, *name.split("/")))
+
+
 def patient_lake(spark, sf) -> str:
-    """A lake with all three modalities up to the fused gold table."""
+    """All three modalities up to the fused gold table. A table goes when the step that reads it last has written its own."""
     root = cleaned_clinical(spark, sf)
-    cleaned_mutations(spark, sf, root)
-    cleaned_rna_seq(spark, sf, root)
     features.clinical_features(spark, root)
+    used_up(spark, root, "bronze/cbioportal_clinical", "silver/clinical")
+    cleaned_mutations(spark, sf, root)
     features.mutation_burden_features(spark, root)
+    used_up(spark, root, "bronze/cbioportal_mutations", "silver/mutations")
+    cleaned_rna_seq(spark, sf, root)
+    used_up(spark, root, "bronze/gdc_rna_seq_counts")
     features.expression_features(spark, root, order_by=["gene_id", "file_id"])
+    used_up(spark, root, "silver/rna_seq")
     features.patient_features_tcga(spark, root)
+    used_up(spark, root, "gold/clinical_features", "gold/mutation_burden_features", "gold/expression_features")
     return root
 
 

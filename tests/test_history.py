@@ -2,6 +2,7 @@
 
 import glob
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from cohortloom.operators import contracts, genomic, inspect, missing, reshape
 from cohortloom.plans import clean, ingest
 from cohortloom.sources import delimited, layers, records
 from cohortloom.streaming.landing import ingest_new_files
+from suite import composed
 from tests.test_lake import count_file, put
 
 READING = "state_code string, county_code string, site_num string, date_local string, arithmetic_mean string"
@@ -224,3 +226,42 @@ def test_a_hot_date_lies_in_many_buckets(spark, monkeypatch):
     out = missing.fill_environmental_nearest(df, "v", "place", "day", rows_per_bucket=100)
     assert out.filter("v is null").count() == 0 and out.count() == 4000 and out.columns == df.columns
     assert sizes[0] <= 200
+
+
+def shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {p for d in folders for p in glob.glob(f"{d.getPath()}/*/shuffle_*")}
+
+
+@pytest.mark.parametrize("write", ["scratch", "slice", "layer"])
+def test_written_tables_leave_no_shuffle_files(spark, scratch, write):
+    before = shuffle_files(spark)
+    df = spark.range(5000).groupBy((F.col("id") % 700).alias("k")).agg(F.sum("id").alias("n")).repartition(3, "n")
+    if write == "scratch":
+        made = runtime.materialize(df, "sums")
+    elif write == "slice":
+        made = layers.scan_layer(spark, layers.write_bronze_slice(df, f"{scratch}/sums", "2024-01-01"))
+    else:
+        made = layers.scan_layer(spark, layers.overwrite_table(df, f"{scratch}/sums"))
+    for _ in range(50):
+        if not shuffle_files(spark) - before:
+            break
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before
+    # the frame is planned anew when it is used again, and other uses of the session keep their files
+    assert made.count() == df.count() == 700 and df.agg(F.sum("n")).first()[0] == sum(range(5000))
+    assert spark.conf.get(runtime._SHUFFLE_CLEANUP) == "false"
+
+
+def test_layers_hold_digests_in_half_their_letters(spark, scratch):
+    df = spark.range(20_000).select(F.sha2(F.col("id").cast("string"), 256).alias("patient_key"))
+    for path in (layers.overwrite_table(df, f"{scratch}/gold"), layers.write_bronze_slice(df, f"{scratch}/bronze", "2024-01-01")):
+        assert sum(os.path.getsize(p) for p in glob.glob(f"{path}/**/*.parquet", recursive=True)) < 20_000 * 64 * 0.7
+
+
+def test_the_fused_table_alone_is_left_of_a_querys_lake(spark):
+    root = composed.patient_lake(spark, "/root/testdata/sf0.01")
+    assert {layer: runtime.folder_entries(spark, f"{root}/{layer}") for layer in layers.LAYERS} == {
+        "bronze": set(), "silver": set(), "gold": {"patient_features_tcga"}
+    }
+    assert layers.scan_layer(spark, layers.layer_path(root, "gold", "patient_features_tcga")).count() == 15_000
